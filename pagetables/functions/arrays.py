@@ -3,16 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache, wraps
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+def built_once(build: Callable) -> Callable:
+    """Keep the expressions a builder returns for each set of arguments.
+
+    A page extractor takes thousands of small calls to the JVM to put together.
+    Expressions name their columns and hold no data, so an application can use
+    the same one in every query and micro-batch.
+    """
+
+    @cache
+    def keep(_application: str, *args):
+        return build(*args)
+
+    @wraps(build)
+    def get(*args):
+        return keep(SparkSession.active().sparkContext.applicationId, *args)
+
+    return get
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it many times in ``body``."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def span(items: Column, first: Column, last: Column) -> Column:
+    """Items ``first..last`` (from 0, both included) of an array.
+
+    ``slice`` copies the whole array when it runs inside a lambda; this reads
+    only the asked items.
+    """
+    return F.transform(
+        F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>")),
+        lambda i: F.get(items, i),
+    )
+
+
 def drop_empty(texts: Column) -> Column:
     """Remove NULL and empty strings from an array of texts; NULL becomes empty."""
     return F.coalesce(
@@ -54,7 +86,7 @@ def fill_headings(items: Column, is_heading: Callable[[Column], Column],
         return let(
             title,
             lambda t: F.transform(
-                F.slice(items, begin + 1, end - begin), lambda n: build(n, t)
+                span(items, begin, end - 1), lambda n: build(n, t)
             ),
         )
 

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagetables.functions.arrays import drop_empty, let
+from pagetables.functions.arrays import drop_empty, let, span
 from pagetables.functions.text import trim_to_null
 
 _PART = re.compile(
@@ -70,9 +70,7 @@ class Dom:
 
     def inside(self, node: Column) -> Column:
         """All descendants of an element, in document order."""
-        return let(
-            node, lambda n: F.slice(self.nodes, n["id"] + F.lit(2), n["last"] - n["id"])
-        )
+        return let(node, lambda n: span(self.nodes, n["id"] + 1, n["last"]))
 
     def _test(self, node: Column, parts: list[tuple[str, str]]) -> Column:
         (combinator, compound), rest = parts[-1], parts[:-1]
@@ -88,8 +86,12 @@ class Dom:
             lambda i: let(F.get(self.nodes, i), lambda a: self._test(a, rest)),
         )
 
-    def find_all(self, selector: str, within: Column | None = None) -> Column:
-        """Matching descendants of ``within`` (default: the page), in document order."""
+    def find_all(self, selector: str, within: Column | None = None,
+                 among: Column | None = None) -> Column:
+        """Matching descendants of ``within`` (default: the page), in document order.
+
+        ``among`` is the array ``inside(within)`` when the caller has it at hand.
+        """
         parts, pos = [], 0
         while pos < len(selector.rstrip()):
             m = _PART.match(selector, pos)
@@ -97,12 +99,15 @@ class Dom:
                 raise ValueError(f"unsupported selector: {selector!r}")
             parts.append((m["child"] or " ", m["compound"]))
             pos = m.end()
-        scope = self.inside(self.root()) if within is None else self.inside(within)
-        return F.filter(scope, lambda n: self._test(n, parts))
+        if among is None:
+            among = self.nodes if within is None else self.inside(within)
+        # the synthetic root is no element of the page
+        return F.filter(among, lambda n: self._test(n, parts) & (n["id"] > 0))
 
-    def find(self, selector: str, within: Column | None = None) -> Column:
+    def find(self, selector: str, within: Column | None = None,
+             among: Column | None = None) -> Column:
         """First match or NULL."""
-        return F.get(self.find_all(selector, within), F.lit(0))
+        return F.get(self.find_all(selector, within, among), F.lit(0))
 
     def exists(self, selector: str) -> Column:
         return F.size(self.find_all(selector)) > 0

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import sys
+from array import array
 from html import unescape
 
 import pyarrow as pa
@@ -77,76 +78,38 @@ _ENDS = {
 _P = frozenset(["p"])
 _P_STOP = _SCOPE | {"button"}
 _ONCE = frozenset(["html", "head", "body"])
+_DEEPEST = 512  # as in browsers: elements nested deeper become siblings, so paths stay short
+_STAYS = frozenset(["html", "body"])  # open until the page ends, whatever the end tags say
 
 
 class _Columns:
-    """Flat columns of all elements of one batch of pages."""
+    """Flat columns of all elements of one batch of pages.
+
+    One long method on purpose: it runs once per tag, so the columns are bound
+    to local names and nothing is called that need not be.
+    """
 
     def __init__(self) -> None:
-        self.last, self.parent, self.nth = [], [], []
+        self.id, self.last, self.parent, self.nth = (array("i") for _ in range(4))
+        self.path, self.path_at = array("i"), array("i", [0])
+        self.class_at, self.attr_at, self.page_at = (array("i", [0]) for _ in range(3))
         self.tag, self.el_id, self.text, self.tail = [], [], [], []
-        self.classes, self.class_at = [], [0]
-        self.keys, self.values, self.attr_at = [], [], [0]
-        self.path, self.path_at = [], [0]
-        self.id, self.page_at = [], [0]
+        self.classes, self.keys, self.values = [], [], []
 
     def add_page(self, html: str) -> None:
-        base = len(self.tag)
+        tags, texts, tails, path = self.tag, self.text, self.tail, self.path
+        classes, keys, values, last = self.classes, self.keys, self.values, self.last
+        match, attributes = _TOKEN.match, _ATTR.findall
+        base = len(tags)
         names: list[str] = []  # open elements, outermost first
-        ids: list[int] = []
+        ids = array("i")
         kids: list[int] = []
-        seen: set[str] = set()
-        # where the next text goes: into `text` of an open element or `tail` of a closed one
-        at, into = base, self.text
-
-        def start(name: str, attrs: str) -> None:
-            nonlocal at, into
-            node = len(self.tag) - base
-            self.id.append(node)
-            self.last.append(node)
-            self.tag.append(name)
-            self.text.append("")
-            self.tail.append("")
-            self.path.extend(ids)
-            self.path_at.append(len(self.path))
-            if ids:
-                kids[-1] += 1
-                self.parent.append(ids[-1])
-                self.nth.append(kids[-1])
-            else:
-                self.parent.append(-1)
-                self.nth.append(1)
-            el_id = None
-            if attrs:
-                mine: set[str] = set()
-                for m in _ATTR.finditer(attrs):
-                    key = m[1].lower()
-                    if key in mine:
-                        continue
-                    mine.add(key)
-                    value = m[2] or m[3] or m[4] or ""
-                    if "&" in value:
-                        value = unescape(value)
-                    self.keys.append(key)
-                    self.values.append(value)
-                    if key == "class":
-                        self.classes.extend(value.split())
-                    elif key == "id":
-                        el_id = value
-            self.el_id.append(el_id)
-            self.attr_at.append(len(self.keys))
-            self.class_at.append(len(self.classes))
-            names.append(name)
-            ids.append(node)
-            kids.append(0)
-            at, into = base + node, self.text
+        once: set[str] = set()
 
         def close(depth: int) -> None:
-            nonlocal at, into
-            end = len(self.tag) - base - 1
+            end = len(tags) - base - 1
             for node in ids[depth:]:
-                self.last[base + node] = end
-            at, into = base + ids[depth], self.tail
+                last[base + node] = end
             del names[depth:], ids[depth:], kids[depth:]
 
         def find_open(targets, stop) -> int:
@@ -157,98 +120,152 @@ class _Columns:
                     return 0
             return 0
 
-        start("#root", "")
         pos, size = 0, len(html)
-        while pos < size:
+        name, attrs = "#root", ""
+        leaf, too_deep = False, 0
+        # where the next text goes: `text` of an open element or `tail` of a closed one
+        at, into = base, texts
+        while True:
+            if name:
+                node = len(tags) - base
+                self.id.append(node)
+                last.append(node)
+                tags.append(name)
+                texts.append("")
+                tails.append("")
+                path.extend(ids)
+                self.path_at.append(len(path))
+                if ids:
+                    kids[-1] += 1
+                    self.parent.append(ids[-1])
+                    self.nth.append(kids[-1])
+                else:
+                    self.parent.append(-1)
+                    self.nth.append(1)
+                el_id = None
+                if attrs:
+                    begin = len(keys)
+                    for key, quoted, single, bare in attributes(attrs):
+                        key = key.lower()
+                        if key in keys[begin:]:
+                            continue
+                        value = quoted or single or bare
+                        if "&" in value:
+                            value = unescape(value)
+                        keys.append(key)
+                        values.append(value)
+                        if key == "class":
+                            classes.extend(value.split())
+                        elif key == "id":
+                            el_id = value
+                self.el_id.append(el_id)
+                self.attr_at.append(len(keys))
+                self.class_at.append(len(classes))
+                at = base + node
+                if name in _VOID or leaf:
+                    into, leaf = tails, False
+                elif name in _RAW:
+                    end = _RAW[name].search(html, pos)
+                    stop_at = end.start() if end else size
+                    if name not in _NO_TEXT:
+                        piece = html[pos:stop_at]
+                        texts[at] = unescape(piece) if name in _ENTITY_TEXT else piece
+                    gt = html.find(">", stop_at)
+                    pos = gt + 1 if gt >= 0 else size
+                    into = tails
+                elif len(names) >= _DEEPEST:
+                    into, too_deep = tails, too_deep + 1
+                else:
+                    names.append(name)
+                    ids.append(node)
+                    kids.append(0)
+                    into = texts
+                name = ""
+            if pos >= size:
+                break
             lt = html.find("<", pos)
-            if lt < 0:
-                lt = size
-            if lt > pos:
-                piece = html[pos:lt]
+            if lt != pos:
+                piece = html[pos:lt] if lt > 0 else html[pos:]
                 into[at] += unescape(piece) if "&" in piece else piece
-                if lt == size:
+                if lt < 0:
                     break
-            m = _TOKEN.match(html, lt)
+            m = match(html, lt)
             if m is None:
                 into[at] += "<"
                 pos = lt + 1
                 continue
             pos = m.end()
-            if m[2]:
-                name = m[2].lower()
-                if name in _ONCE:
-                    if name in seen:
+            ended, started, found = m.groups()
+            if started:
+                started = started.lower()
+                if started in _ONCE:
+                    if started in once:
                         continue
-                    seen.add(name)
-                if name in _ENDS:
-                    depth = find_open(*_ENDS[name])
+                    once.add(started)
+                if started in _ENDS:
+                    depth = find_open(*_ENDS[started])
                     if depth:
                         close(depth)
-                if name in _ENDS_P:
+                if started in _ENDS_P:
                     depth = find_open(_P, _P_STOP)
                     if depth:
                         close(depth)
-                    if name in _HEADINGS and names[-1] in _HEADINGS:
+                    if started in _HEADINGS and names[-1] in _HEADINGS:
                         close(len(names) - 1)
-                start(name, m[3])
-                if name in _VOID:
-                    close(len(names) - 1)
-                elif name in _RAW:
-                    end = _RAW[name].search(html, pos)
-                    stop_at = end.start() if end else size
-                    if name not in _NO_TEXT:
-                        piece = html[pos:stop_at]
-                        into[at] += unescape(piece) if name in _ENTITY_TEXT else piece
-                    close(len(names) - 1)
-                    gt = html.find(">", stop_at)
-                    pos = gt + 1 if gt >= 0 else size
-            elif m[1]:
-                name = m[1].lower()
-                if name in ("html", "body"):
+                name, attrs = started, found
+            elif ended:
+                ended = ended.lower()
+                if too_deep:
+                    too_deep -= 1
                     continue
-                if name in _HEADINGS:
+                if names[-1] == ended and len(names) > 1 and ended not in _STAYS:
+                    depth = len(names) - 1
+                elif ended in _STAYS:
+                    continue
+                elif ended in _HEADINGS:
                     depth = find_open(_HEADINGS, _SCOPE)
-                elif name == "p":
+                elif ended == "p":
                     depth = find_open(_P, _P_STOP)
                     if not depth:
-                        start("p", "")
-                        depth = len(names) - 1
-                elif name == "li":
+                        # a lone end tag makes an empty paragraph
+                        name, attrs, leaf = "p", "", True
+                        continue
+                elif ended == "li":
                     depth = find_open({"li"}, _SCOPE | {"ul", "ol"})
-                elif name in ("td", "th", "tr", "table") or name in _ROWS:
-                    depth = find_open({name}, _TABLE_SCOPE - {name})
+                elif ended in ("td", "th", "tr", "table") or ended in _ROWS:
+                    depth = find_open({ended}, _TABLE_SCOPE - {ended})
                 else:
-                    depth = find_open({name}, _SCOPE if name in _SPECIAL else _SPECIAL)
+                    depth = find_open({ended}, _SCOPE if ended in _SPECIAL else _SPECIAL)
                 if depth:
+                    at, into = base + ids[depth], tails
                     close(depth)
         close(0)
 
     def to_arrow(self) -> pa.Array:
         i32, txt = pa.int32(), pa.string()
-        classes = pa.ListArray.from_arrays(
-            pa.array(self.class_at, i32), pa.array(self.classes, txt)
-        )
-        attrs = pa.MapArray.from_arrays(
-            pa.array(self.attr_at, i32), pa.array(self.keys, txt), pa.array(self.values, txt)
-        )
-        path = pa.ListArray.from_arrays(pa.array(self.path_at, i32), pa.array(self.path, i32))
+
+        def ints(values: array) -> pa.Array:
+            return pa.Array.from_buffers(i32, len(values), [None, pa.py_buffer(values)])
+
         node = pa.StructArray.from_arrays(
             [
-                pa.array(self.id, i32),
-                pa.array(self.last, i32),
-                pa.array(self.parent, i32),
-                pa.array(self.nth, i32),
+                ints(self.id),
+                ints(self.last),
+                ints(self.parent),
+                ints(self.nth),
                 pa.array(self.tag, txt),
                 pa.array(self.el_id, txt),
-                classes,
-                attrs,
+                pa.ListArray.from_arrays(ints(self.class_at), pa.array(self.classes, txt)),
+                pa.MapArray.from_arrays(
+                    ints(self.attr_at), pa.array(self.keys, txt), pa.array(self.values, txt)
+                ),
                 pa.array(self.text, txt),
                 pa.array(self.tail, txt),
-                path,
+                pa.ListArray.from_arrays(ints(self.path_at), ints(self.path)),
             ],
             names=[f.name for f in NODES.elementType.fields],
         )
-        return pa.ListArray.from_arrays(pa.array(self.page_at, i32), node)
+        return pa.ListArray.from_arrays(ints(self.page_at), node)
 
 
 def shred_batch(html: pa.Array) -> pa.Array:

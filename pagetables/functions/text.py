@@ -29,6 +29,8 @@ OFFER_ID = r"(O\d{2,})"
 PERIODS = {"hod": "hour", "mesiac": "month"}
 # ----------------------------------------------------------------------------
 
+_MARK = "\x01"
+_REST = r"(?s).*$"
 _INT = rf"^{_WS}*([+-]?\d+)"
 _HEX = rf"^{_WS}*([+-]?)0[xX]([0-9a-fA-F]+)"
 _FLOAT = rf"^{_WS}*([+-]?(?:Infinity|(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?))"
@@ -109,35 +111,36 @@ def parse_salary(text: Column, normalize_space: bool = False) -> Column:
     def number(raw: Column) -> Column:
         return parse_int_prefix(strip_whitespace(raw))
 
-    def groups(source: Column, pattern: str, upper: int | None, rest: int) -> Column:
-        return F.struct(
-            F.regexp_extract(source, pattern, 1).alias("lower"),
-            (F.regexp_extract(source, pattern, upper) if upper else F.lit(None).cast("string"))
-            .alias("upper"),
-            F.regexp_extract(source, pattern, rest).alias("currency"),
-            F.regexp_extract(source, pattern, rest + 1).alias("period"),
-        )
-
     def parsed(source: Column) -> Column:
-        return F.when(
-            source.rlike(SALARY_SINGLE), groups(source, SALARY_SINGLE, None, 2)
-        ).otherwise(groups(source, SALARY_SPAN, 2, 3))
+        # one replacement per pattern gives all its groups, marked off by _MARK
+        single = F.regexp_replace(
+            source, SALARY_SINGLE + _REST, f"{_MARK}$1{_MARK}{_MARK}$2{_MARK}$3"
+        )
+        return let(single, lambda s: F.split(
+            F.when(s.startswith(_MARK), s).otherwise(F.regexp_replace(
+                source, SALARY_SPAN + _REST, f"{_MARK}$1{_MARK}$2{_MARK}$3{_MARK}$4"
+            )),
+            _MARK,
+        ))
 
     def fields(raw: Column, g: Column) -> Column:
-        period = g["period"]
+        raw_period = F.get(g, F.lit(4))
+        period = raw_period
         for phrase, name in PERIODS.items():
-            period = F.when(g["period"] == phrase, F.lit(name)).otherwise(period)
+            period = F.when(raw_period == phrase, F.lit(name)).otherwise(period)
         return F.struct(
             empty_to_null(raw).alias("salaryRange"),
-            number(g["lower"]).alias("salaryRangeLower"),
-            number(g["upper"]).alias("salaryRangeUpper"),
-            empty_to_null(F.lower(g["currency"])).alias("salaryCurrency"),
+            number(F.get(g, F.lit(1))).alias("salaryRangeLower"),
+            number(F.get(g, F.lit(2))).alias("salaryRangeUpper"),
+            empty_to_null(F.lower(F.get(g, F.lit(3)))).alias("salaryCurrency"),
             empty_to_null(period).alias("salaryPeriod"),
         )
 
     def read(raw: Column) -> Column:
-        source = F.regexp_replace(raw, _WS, " ") if normalize_space else raw
-        return let(parsed(source), lambda g: fields(raw, g))
+        source = F.translate(raw, _MARK, "")
+        if normalize_space:
+            source = F.regexp_replace(source, _WS, " ")
+        return let(source, lambda t: let(parsed(t), lambda g: fields(raw, g)))
 
     return let(text, read)
 

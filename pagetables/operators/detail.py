@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.arrays import drop_empty, fill_headings, let, pairs
+from pagetables.functions.arrays import built_once, drop_empty, fill_headings, let, pairs
 from pagetables.functions.dom import Dom
 from pagetables.functions.text import codes_in_text, offer_id, parse_salary
 from pagetables.functions.urls import resolve_against, split_url
@@ -128,19 +128,32 @@ def _under(categories: Column, phrase: str) -> Column:
 
 def job_details(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = False) -> DataFrame:
     """Detail pages -> one detailed row each, with empty listing fields. No shuffle."""
-    dom, url, css = Dom("nodes"), F.col("effective_url"), spec.detail
+    box, entry, sections, categories, pay = _detail_parts(spec, keep_base_query)
     found = (
         shredded.filter(F.col("route") == "jobDetail")
-        .withColumn("_base", split_url(url))
-        .withColumn("_box", dom.find(css["container"]))
-        .withColumn("_entry", dom.find(css["entry"], F.col("_box")))
-        .withColumn("_sections", detail_sections(dom, F.col("_entry"), spec))
-        .withColumn(
-            "_categories",
-            detail_categories(dom, F.col("_entry"), F.col("_base"), spec, keep_base_query),
-        )
-        .withColumn("_pay", parse_salary(dom.text(dom.find(css["salary"], F.col("_entry")))))
+        .withColumns({"_base": split_url(F.col("effective_url")), "_box": box})
+        .withColumn("_entry", entry)
+        .withColumns({"_sections": sections, "_categories": categories, "_pay": pay})
+    )
+    keep = [c for c in shredded.columns if c != "nodes"]
+    return found.select(*keep, *_detail_fields(spec, keep_base_query))
+
+
+@built_once
+def _detail_parts(spec: SiteSpec, keep_base_query: bool) -> tuple[Column, ...]:
+    dom, css, entry = Dom("nodes"), spec.detail, F.col("_entry")
+    return (
+        dom.find(css["container"]),
+        dom.find(css["entry"], F.col("_box")),
+        detail_sections(dom, entry, spec),
+        detail_categories(dom, entry, F.col("_base"), spec, keep_base_query),
+        parse_salary(dom.text(dom.find(css["salary"], entry))),
     )
+
+
+@built_once
+def _detail_fields(spec: SiteSpec, keep_base_query: bool) -> tuple[Column, ...]:
+    dom, url, css = Dom("nodes"), F.col("effective_url"), spec.detail
     fields = {
         **detail_basic(dom, F.col("_entry"), F.col("_base"), spec, keep_base_query),
         **{f: F.col("_pay")[f] for f in (
@@ -155,11 +168,6 @@ def job_details(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = Fal
             dom.find_all(css["label"], F.col("_box")), lambda n: dom.text_lower(n)
         )),
     }
-    keep = [c for c in shredded.columns if c != "nodes"]
-    return found.select(
-        *keep,
-        *[
-            fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in OFFER_DETAILED
-        ],
+    return tuple(
+        fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in OFFER_DETAILED
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.arrays import let
+from pagetables.functions.arrays import built_once, let
 from pagetables.functions.dom import Dom
 from pagetables.functions.text import (
     last_change_type, offer_id, parse_salary, result_count, str_as_number,
@@ -27,26 +27,26 @@ def listing_entries(dom: Dom, page_url: Column, base: Column, spec: SiteSpec,
         return resolve_against(base, dom.attr(node, attr), keep_base_query)
 
     def entry(card: Column) -> Column:
-        parts = F.struct(
-            dom.find(css["link"], card).alias("link"),
-            dom.find(css["footer"], card).alias("footer"),
-        )
+        def first(name: str) -> Column:
+            return dom.find(css[name], among=card)
+
+        parts = F.struct(first("link").alias("link"), first("footer").alias("footer"))
         return let(parts, lambda p: let(
             F.struct(
                 link(p["link"], "href").alias("url"),
-                parse_salary(dom.text(dom.find(css["salary"], card))).alias("pay"),
+                parse_salary(dom.text(first("salary"))).alias("pay"),
                 dom.find(css["change_time"], p["footer"]).alias("changed"),
             ),
             lambda q: F.struct(
                 page_url.alias("listingUrl"),
-                dom.text(dom.find(css["employer"], card)).alias("employerName"),
-                link(dom.find(css["logo_link"], card), "href").alias("employerUrl"),
-                link(dom.find(css["logo"], card), "src").alias("employerLogoUrl"),
+                dom.text(first("employer")).alias("employerName"),
+                link(first("logo_link"), "href").alias("employerUrl"),
+                link(first("logo"), "src").alias("employerLogoUrl"),
                 dom.text(p["link"]).alias("offerName"),
                 q["url"].alias("offerUrl"),
                 offer_id(q["url"]).alias("offerId"),
-                dom.text(dom.find(css["location"], card)).alias("location"),
-                dom.texts(dom.find_all(css["label"], card)).alias("labels"),
+                dom.text(first("location")).alias("location"),
+                dom.texts(dom.find_all(css["label"], among=card)).alias("labels"),
                 dom.text(q["changed"]).alias("lastChangeRelativeTime"),
                 last_change_type(
                     dom.text(p["footer"], without=F.array(q["changed"])), ADDED_PHRASE
@@ -57,7 +57,8 @@ def listing_entries(dom: Dom, page_url: Column, base: Column, spec: SiteSpec,
             ),
         ))
 
-    return F.transform(dom.find_all(css["row"]), entry)
+    cards = F.transform(dom.find_all(css["row"]), lambda row: dom.inside(row))
+    return F.transform(cards, entry)
 
 
 def page_number(url: Column) -> Column:
@@ -71,26 +72,46 @@ def listing_key(url: Column) -> Column:
     return url_key(drop_query_param(url, "page_num"))
 
 
+@built_once
+def _entries(spec: SiteSpec, keep_base_query: bool) -> Column:
+    return listing_entries(
+        Dom("nodes"), F.col("effective_url"), F.col("_base"), spec, keep_base_query
+    )
+
+
+@built_once
+def _counter(spec: SiteSpec) -> Column:
+    dom = Dom("nodes")
+    return result_count(dom.text(dom.find(spec.listing["counter"])))
+
+
+@built_once
+def _listing() -> Column:
+    return listing_key(F.col("effective_url"))
+
+
+@built_once
+def _page_num() -> Column:
+    given = F.col("page.list_page_num").cast("bigint")
+    return F.coalesce(given, page_number(F.col("effective_url")), F.lit(1))
+
+
 def listing_pages(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = False) -> DataFrame:
     """One compact row per listing page: key, number, result count and entries.
 
     No shuffle: everything is read from the page's own row. The DOM is dropped
     here, so later shuffles carry entries only.
     """
-    dom, url = Dom("nodes"), F.col("effective_url")
     return (
         shredded.filter(F.col("route") == "jobListing")
-        .withColumn("_base", split_url(url))
-        .withColumn(
-            "entries", listing_entries(dom, url, F.col("_base"), spec, keep_base_query)
-        )
-        .withColumn("counter", result_count(dom.text(dom.find(spec.listing["counter"]))))
-        .withColumn("listing", listing_key(url))
-        .withColumn("page_num", F.coalesce(
-            F.col("page.list_page_num").cast("bigint"), page_number(url), F.lit(1)
-        ))
-        .withColumn("empty", F.size("entries") == 0)
-        .withColumn("n", F.size("entries"))
+        .withColumn("_base", split_url(F.col("effective_url")))
+        .withColumns({
+            "entries": _entries(spec, keep_base_query),
+            "counter": _counter(spec),
+            "listing": _listing(),
+            "page_num": _page_num(),
+        })
+        .withColumns({"empty": F.size("entries") == 0, "n": F.size("entries")})
         .drop("nodes", "_base")
     )
 

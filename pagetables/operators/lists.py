@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.arrays import fill_headings, let
+from pagetables.functions.arrays import built_once, fill_headings, let
 from pagetables.functions.dom import Dom, matches
 from pagetables.functions.text import str_as_number
 from pagetables.functions.urls import get_query_param, resolve_against, set_query_param, split_url, url_key
@@ -106,6 +106,16 @@ def related_links(dom: Dom, base: Column, spec: SiteSpec,
     return let(links, rows)
 
 
+@built_once
+def _links(spec: SiteSpec, keep_base_query: bool) -> Column:
+    return related_links(Dom("nodes"), F.col("_base"), spec, keep_base_query)
+
+
+@built_once
+def _partners(spec: SiteSpec, keep_base_query: bool) -> Column:
+    return partner_entries(Dom("nodes"), F.col("_base"), spec, keep_base_query)
+
+
 def list_pages(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = False) -> DataFrame:
     """One compact row per captured list page: its tab and its links. No shuffle.
 
@@ -115,7 +125,7 @@ def list_pages(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = Fals
     return (
         shredded.filter(F.col("route") == "jobRelatedList")
         .withColumn("_base", split_url(url))
-        .withColumn("entries", related_links(Dom("nodes"), F.col("_base"), spec, keep_base_query))
+        .withColumn("entries", _links(spec, keep_base_query))
         .withColumn("tab_index", tab_index(url))
         .withColumn(
             "capture", url_key(set_query_param(url, "tab_index", F.col("tab_index")))
@@ -182,7 +192,7 @@ def partner_pages(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = F
     return (
         shredded.filter(F.col("route") == "partners")
         .withColumn("_base", split_url(url))
-        .withColumn("entries", partner_entries(Dom("nodes"), F.col("_base"), spec, keep_base_query))
+        .withColumn("entries", _partners(spec, keep_base_query))
         .withColumn("capture", url_key(url))
         .drop("nodes", "_base")
     )

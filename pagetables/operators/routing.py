@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.functions.arrays import built_once
 from pagetables.functions.dom import Dom
 from pagetables.functions.shred import shred_html
 from pagetables.spec import Route, SiteSpec
@@ -58,6 +59,12 @@ def list_kind(url: Column, spec: SiteSpec) -> Column:
     return found
 
 
+@built_once
+def _by_url(spec: SiteSpec) -> tuple[Column, Column]:
+    url = F.col("effective_url")
+    return route(url, spec), list_kind(url, spec)
+
+
 def route_pages(pages: DataFrame, spec: SiteSpec) -> DataFrame:
     """Add ``route`` and ``list_kind`` from the URL alone and drop foreign pages.
 
@@ -66,23 +73,24 @@ def route_pages(pages: DataFrame, spec: SiteSpec) -> DataFrame:
     """
     if "route" in pages.columns:
         return pages
-    url = F.col("effective_url")
+    label, kind = _by_url(spec)
     return (
-        pages.withColumn("route", route(url, spec))
+        pages.withColumn("route", label)
         .filter(F.col("route").isNotNull())
-        .withColumn(
-            "list_kind", F.when(F.col("route") == "jobRelatedList", list_kind(url, spec))
-        )
+        .withColumn("list_kind", F.when(F.col("route") == "jobRelatedList", kind))
     )
 
 
+@built_once
+def _settled(spec: SiteSpec) -> Column:
+    url = F.col("effective_url")
+    by_page = route(url, spec, Dom("nodes"))
+    return F.when(needs_page_test(url, spec), by_page).otherwise(F.col("route"))
+
+
 def settle_routes(shredded: DataFrame, spec: SiteSpec) -> DataFrame:
     """Apply the rules on page content to the rows of ``route_pages`` that need it."""
-    url, dom = F.col("effective_url"), Dom("nodes")
-    return shredded.withColumn(
-        "route",
-        F.when(needs_page_test(url, spec), route(url, spec, dom)).otherwise(F.col("route")),
-    )
+    return shredded.withColumn("route", _settled(spec))
 
 
 def quarantine(routed: DataFrame, spec: SiteSpec) -> tuple[DataFrame, DataFrame]:

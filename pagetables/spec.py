@@ -123,8 +123,10 @@ class Route:
     page: str | None = None
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class SiteSpec:
+    """One object per site; compared by identity, so build it once and pass it on."""
+
     host: str
     routes: tuple[Route, ...]
     seeds: dict[str, str]
