@@ -68,14 +68,21 @@ def parse_int_prefix(text: Column) -> Column:
     return let(
         text,
         lambda t: F.when(t.rlike(_HEX), from_hex(t)).otherwise(
-            F.regexp_extract(t, _INT, 1).try_cast("bigint")
+            _digits_to_long(F.regexp_extract(t, _INT, 1))
         ),
     )
 
 
+def _digits_to_long(digits: Column) -> Column:
+    # try_cast throws and catches inside for every bad text, so keep empty ones away
+    return let(digits, lambda d: F.when(d != "", d.try_cast("bigint")))
+
+
 def parse_float_prefix(text: Column) -> Column:
     """Leading decimal number of a text (``"1.5e3x"`` -> 1500), NULL when there is none."""
-    return F.regexp_extract(text, _FLOAT, 1).try_cast("double")
+    return let(
+        F.regexp_extract(text, _FLOAT, 1), lambda t: F.when(t != "", t.try_cast("double"))
+    )
 
 
 def str_as_number(
@@ -108,8 +115,10 @@ def parse_salary(text: Column, normalize_space: bool = False) -> Column:
     default they end the number, as on the site's own pages.
     """
 
-    def number(raw: Column) -> Column:
-        return parse_int_prefix(strip_whitespace(raw))
+    def number(bound: Column) -> Column:
+        # a bound is made of digits, blanks, commas and points: no pattern needed
+        joined = F.replace(bound, F.lit(" "), F.lit(""))
+        return _digits_to_long(F.substring_index(F.substring_index(joined, ",", 1), ".", 1))
 
     def parsed(source: Column) -> Column:
         # one replacement per pattern gives all its groups, marked off by _MARK
@@ -117,7 +126,7 @@ def parse_salary(text: Column, normalize_space: bool = False) -> Column:
             source, SALARY_SINGLE + _REST, f"{_MARK}$1{_MARK}{_MARK}$2{_MARK}$3"
         )
         return let(single, lambda s: F.split(
-            F.when(s.startswith(_MARK), s).otherwise(F.regexp_replace(
+            F.when(s.startswith(_MARK) & ~source.startswith(_MARK), s).otherwise(F.regexp_replace(
                 source, SALARY_SPAN + _REST, f"{_MARK}$1{_MARK}$2{_MARK}$3{_MARK}$4"
             )),
             _MARK,
@@ -137,9 +146,7 @@ def parse_salary(text: Column, normalize_space: bool = False) -> Column:
         )
 
     def read(raw: Column) -> Column:
-        source = F.translate(raw, _MARK, "")
-        if normalize_space:
-            source = F.regexp_replace(source, _WS, " ")
+        source = F.regexp_replace(raw, _WS, " ") if normalize_space else raw
         return let(source, lambda t: let(parsed(t), lambda g: fields(raw, g)))
 
     return let(text, read)

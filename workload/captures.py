@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetables.sources.pages import spread
+
 HOST = "jobs-example.sk"
 SITE = f"https://www.{HOST}"
 PER_PAGE = 20  # cards on a listing page
@@ -17,7 +19,7 @@ PER_LIST = 50  # links on a list page
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def text(*parts: Column | str) -> Column:

@@ -121,8 +121,7 @@ def q06_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _shredded(spark: SparkSession, sf: str) -> DataFrame:
-    # a few files of unlike pages: spread them before parsing
-    return Ro.shred(captured(table(spark, sf, "pages").repartition("page_id")))
+    return Ro.shred(captured(table(spark, sf, "pages")))
 
 
 def q07_page_text(spark: SparkSession, sf: str) -> DataFrame:
