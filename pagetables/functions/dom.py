@@ -49,7 +49,7 @@ def matches(node: Column, compound: str) -> Column:
         elif kind == "id":
             test = node["el_id"].eqNullSafe(value)
         elif kind == "cls":
-            test = F.array_contains(node["classes"], value)
+            test = node["classes"].contains(f" {value} ")
         elif kind == "attr":
             found = node["attrs"][m["attr"].lower()]
             test = found.isNotNull() if m["value"] is None else found.eqNullSafe(m["value"])
@@ -124,7 +124,8 @@ class Dom:
         """Text of the subtree as it stands; ``without`` holds elements to leave out."""
 
         def joined(n: Column, piece: Callable[[Column], Column]) -> Column:
-            return F.concat(n["text"], F.array_join(F.transform(self.inside(n), piece), ""))
+            below = F.array_join(F.transform(self.inside(n), piece), "")
+            return F.when(n["last"] == n["id"], n["text"]).otherwise(F.concat(n["text"], below))
 
         def all_of(n: Column) -> Column:
             return F.concat(n["text"], n["tail"])

@@ -92,13 +92,13 @@ class _Columns:
     def __init__(self) -> None:
         self.id, self.last, self.parent, self.nth = (array("i") for _ in range(4))
         self.path, self.path_at = array("i"), array("i", [0])
-        self.class_at, self.attr_at, self.page_at = (array("i", [0]) for _ in range(3))
-        self.tag, self.el_id, self.text, self.tail = [], [], [], []
-        self.classes, self.keys, self.values = [], [], []
+        self.attr_at, self.page_at = array("i", [0]), array("i", [0])
+        self.tag, self.el_id, self.classes, self.text, self.tail = [], [], [], [], []
+        self.keys, self.values = [], []
 
     def add_page(self, html: str) -> None:
         tags, texts, tails, path = self.tag, self.text, self.tail, self.path
-        classes, keys, values, last = self.classes, self.keys, self.values, self.last
+        keys, values, last = self.keys, self.values, self.last
         match, attributes = _TOKEN.match, _ATTR.findall
         base = len(tags)
         names: list[str] = []  # open elements, outermost first
@@ -142,7 +142,7 @@ class _Columns:
                 else:
                     self.parent.append(-1)
                     self.nth.append(1)
-                el_id = None
+                el_id, classes = None, ""
                 if attrs:
                     begin = len(keys)
                     for key, quoted, single, bare in attributes(attrs):
@@ -155,12 +155,12 @@ class _Columns:
                         keys.append(key)
                         values.append(value)
                         if key == "class":
-                            classes.extend(value.split())
+                            classes = f" {' '.join(value.split())} "
                         elif key == "id":
                             el_id = value
                 self.el_id.append(el_id)
                 self.attr_at.append(len(keys))
-                self.class_at.append(len(classes))
+                self.classes.append(classes)
                 at = base + node
                 if name in _VOID or leaf:
                     into, leaf = tails, False
@@ -255,7 +255,7 @@ class _Columns:
                 ints(self.nth),
                 pa.array(self.tag, txt),
                 pa.array(self.el_id, txt),
-                pa.ListArray.from_arrays(ints(self.class_at), pa.array(self.classes, txt)),
+                pa.array(self.classes, txt),
                 pa.MapArray.from_arrays(
                     ints(self.attr_at), pa.array(self.keys, txt), pa.array(self.values, txt)
                 ),

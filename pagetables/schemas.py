@@ -30,7 +30,10 @@ PAGES = _struct(
 #: One element of a page. ``nodes`` is an array of these in document order, so
 #: the array position equals ``id`` and a subtree is the slice ``id..last``.
 #: ``text`` is the text before the first child, ``tail`` the text between the
-#: element's end and the next tag. Node 0 is a synthetic root around the page.
+#: element's end and the next tag. ``classes`` is the class attribute with one
+#: blank around each name (" a b "), so a class test is a plain text search.
+#: ``path`` holds the ids of the ancestors. Node 0 is a synthetic root around the
+#: page.
 NODE = _struct(
     ("id", _I),
     ("last", _I),
@@ -38,7 +41,7 @@ NODE = _struct(
     ("nth", _I),
     ("tag", _S),
     ("el_id", _S),
-    ("classes", T.ArrayType(_S, False)),
+    ("classes", _S),
     ("attrs", T.MapType(_S, _S, False)),
     ("text", _S),
     ("tail", _S),

@@ -22,6 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def gathered(df: DataFrame, *keys: str) -> DataFrame:
+    """Bring the rows of a page together before their HTML is written.
+
+    The groupings that follow use this partitioning. A fixed partition count
+    keeps adaptive execution from merging partitions by size: pages compress
+    well, so their bytes say little about the parsing to come.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def text(*parts: Column | str) -> Column:
     """Concatenate columns and literal text."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
@@ -87,6 +97,7 @@ def listing_pages(spark: SparkSession, sf_dir: str, empty_from: int | None = Non
         "listing": block("o_orderkey", PER_LISTING),
         "page_num": block("o_orderkey", PER_PAGE) % (PER_LISTING // PER_PAGE) + 1,
     })
+    orders = gathered(orders, "listing", "page_num")
     pages = orders.select("listing", "page_num", "o_orderkey", card_html().alias("card")).groupBy(
         "listing", "page_num"
     ).agg(
@@ -207,7 +218,7 @@ def location_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             "</a><span>", spaced(F.floor("o_totalprice")), "</span></div>",
         ).alias("link"),
     )
-    groups = orders.groupBy("blok", "tab", "prio").agg(
+    groups = gathered(orders, "blok").groupBy("blok", "tab", "prio").agg(
         F.count(F.lit(1)).alias("n"),
         F.array_sort(F.collect_list(F.struct("o_orderkey", "link"))).alias("links"),
     )
@@ -234,22 +245,24 @@ def location_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def location_entry_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list pages themselves, as captured before any tab was opened."""
-    return location_pages(spark, sf_dir).select(
-        (F.col("page_id") + 50000000000).alias("page_id"),
-        F.regexp_replace("url", r"&tab_index=\d+$", "").alias("url"), "html",
-    ).dropDuplicates(["url"])
+    entry = F.regexp_replace("url", r"&tab_index=\d+$", "").alias("url")
+    first = F.min_by(F.struct("page_id", "html"), "page_id").alias("first")
+    return location_pages(spark, sf_dir).groupBy(entry).agg(first).select(
+        (F.col("first.page_id") + 50000000000).alias("page_id"), "url", "first.html"
+    )
 
 
 def company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company lists of 50 customers without headings or tabs."""
     c = table(spark, sf_dir, "customer")
-    pages = c.select(
+    links = c.select(
         block("c_custkey", PER_LIST).alias("blok"), "c_custkey",
         text(
             '<li><a href="/praca/c/C', F.col("c_custkey"), '">', F.col("c_name"), "</a> <span>",
             F.col("c_nationkey"), "</span></li>",
         ).alias("link"),
-    ).groupBy("blok").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "link"))).alias("links"))
+    )
+    pages = gathered(links, "blok").groupBy("blok").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "link"))).alias("links"))
     return pages.select(
         (F.col("blok") + 20000000000).alias("page_id"),
         text(SITE, "/praca/zoznam-spolocnosti?blok=", F.col("blok")).alias("url"),
@@ -272,7 +285,7 @@ def partner_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_name"), "</div></div>",
         ).alias("row"),
     )
-    cards = rows.groupBy("blok", "region").agg(
+    cards = gathered(rows, "blok").groupBy("blok", "region").agg(
         F.array_sort(F.collect_list(F.struct("s_suppkey", "row"))).alias("rows")
     ).select(
         "blok", "region",
