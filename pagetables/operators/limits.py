@@ -122,9 +122,18 @@ def announced_pages(pages: DataFrame) -> DataFrame:
         .agg(F.max("counter.total").alias("total"))
         .filter(F.col("total") > 0)
     )
+    # numbers in base 1000, so that no counter, however wrong, asks for a huge array
     last = F.ceil(F.col("total") / ROWS_PER_PAGE)
+    numbers = totals.select("listing", last.alias("last"), F.lit(0).cast("bigint").alias("k"))
+    for step in (1_000_000, 1000, 1):
+        left = F.floor((F.col("last") - 1 - F.col("k")) / step)
+        here = left if step == 1_000_000 else F.least(left, F.lit(999))
+        numbers = numbers.select(
+            "listing", "last", F.col("k").alias("begin"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), here)).alias("i"),
+        ).select("listing", "last", (F.col("begin") + F.col("i") * step).alias("k"))
     return frontier(
-        totals.select("listing", F.explode(F.sequence(F.lit(1).cast("bigint"), last)).alias("k")),
+        numbers.withColumn("k", F.col("k") + 1),
         url=set_query_param(F.col("listing"), "page_num", F.col("k")),
         label="jobListing",
         page_num=F.col("k"),

@@ -9,6 +9,7 @@ from pagetables.functions.arrays import built_once, fill_headings, let
 from pagetables.functions.dom import Dom, matches
 from pagetables.functions.text import str_as_number
 from pagetables.functions.urls import get_query_param, resolve_against, set_query_param, split_url, url_key
+from pagetables.operators.relational import capture_order, latest
 from pagetables.spec import HOME_COUNTRY, SiteSpec
 
 
@@ -39,9 +40,10 @@ def tab_fanout(shredded: DataFrame, spec: SiteSpec) -> DataFrame:
 def captured_tabs(fanout: DataFrame, pages: DataFrame) -> DataFrame:
     """Tabs with their captured ``list_pages``, joined on the canonical URL.
 
-    The tab rows are reduced to one per URL first, so a list page captured many
-    times does not multiply its links.
+    Both sides are reduced to one row per URL first, so a page captured many
+    times neither multiplies its links nor ends up in one task.
     """
+    pages = latest(pages, "capture", *capture_order())
     tabs = fanout.groupBy(url_key(F.col("tab_url")).alias("capture")).agg(
         F.max("tab_name").alias("tab_name")
     )

@@ -12,6 +12,7 @@ from pagetables.functions.text import offer_id
 from pagetables.functions.urls import get_query_param, url_key
 from pagetables.params import OfferFilters
 from pagetables.schemas import DESCRIPTION_FIELDS, OFFER_DETAILED
+from pagetables.sources.workspace import cut
 from pagetables.spec import REMOTE_CODES
 
 #: What a detailed row takes from its listing card; everything else is the detail page's.
@@ -64,15 +65,18 @@ def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "list
     detail page and card, or per page alone when no card leads to it.
 
     Detail pages captured more than once count once, so cards cannot multiply.
-    The listing side is cut down to a key and three columns before it shuffles;
-    a very popular offer is left to adaptive skew-join splitting.
+    The cards are cut down to a key and a few columns before they shuffle. Both
+    sides of the join come straight from a shuffle of their own, which is what
+    adaptive execution needs to split the cards of a very popular offer over
+    many tasks; only inner joins can be split on that side, so offers without a
+    card are added by an anti join on the distinct keys.
     """
     if how not in ("listing", "detail"):
         raise ValueError(f"how must be 'listing' or 'detail', got {how!r}")
+    by_listing = how == "listing"
     pages = latest(
         detail.withColumn("_offer", url_key(F.col("page.url"))), "_offer", *capture_order()
     )
-    by_listing = how == "listing"
     carried = [F.col("page").alias("_page"), F.col("offerUrl").alias("_url")]
     cards = (
         listing.filter(F.col("offerUrl").isNotNull())
@@ -83,7 +87,14 @@ def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "list
             *(carried if by_listing else []),
         )
     )
-    merged = pages.drop(*FROM_LISTING).join(cards, "_offer", "inner" if by_listing else "left")
+    if not by_listing:
+        pages, cards = cut(pages, "details"), cut(cards, "cards")
+    merged = pages.drop(*FROM_LISTING).join(cards, "_offer")
+    if not by_listing:
+        alone = pages.join(cards.select("_offer").distinct(), "_offer", "left_anti")
+        merged = merged.unionByName(
+            alone.drop(*FROM_LISTING), allowMissingColumns=True
+        )
     values = {c: F.col("_" + c) for c in FROM_LISTING}
     page = F.col("page")
     if by_listing:
@@ -135,10 +146,13 @@ def frontier_gap(needed: DataFrame, captured: DataFrame) -> DataFrame:
     return wanted.join(have, "_key", "left_anti").select("_row.*")
 
 
-def dataset_counts(datasets: dict[str, DataFrame]) -> DataFrame:
-    """Rows per dataset kind: (kind, rows)."""
+def dataset_counts(datasets: dict[str, DataFrame], **tests: Column) -> DataFrame:
+    """Rows per dataset kind: (kind, rows), and how many of them pass each of ``tests``."""
     parts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(kind).alias("kind"), "rows")
+        df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(test).alias(name) for name, test in tests.items()],
+        ).select(F.lit(kind).alias("kind"), "rows", *tests)
         for kind, df in datasets.items()
     ]
     return reduce(DataFrame.unionByName, parts)

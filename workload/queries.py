@@ -107,13 +107,8 @@ def q05_fan_out(spark: SparkSession, sf: str) -> DataFrame:
         spark, C.listing_pages(spark, sf), C.location_pages(spark, sf), C.company_pages(spark, sf),
         C.partner_pages(spark, sf), C.company_profiles(spark, sf),
     )
-    datasets = P.fan_out(pages, SPEC, OFFERS)
-    counts = R.dataset_counts(datasets)
-    described = R.dataset_counts({
-        k: df.filter(F.col("metadata.originalUrl").isNotNull() & F.col("metadata.contextId").isNotNull())
-        for k, df in datasets.items()
-    })
-    return counts.join(described.withColumnRenamed("rows", "with_metadata"), "kind")
+    known = F.col("metadata.originalUrl").isNotNull() & F.col("metadata.contextId").isNotNull()
+    return R.dataset_counts(P.fan_out(pages, SPEC, OFFERS), with_metadata=known)
 
 
 def q06_quarantine(spark: SparkSession, sf: str) -> DataFrame:
