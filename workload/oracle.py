@@ -325,7 +325,7 @@ UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'iso_date', 'datePosted' FROM orde
 UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'required', 'startDate' FROM orders"""
 
 Q["q24_stream"] = """
-SELECT split_part(url, '#', 1) AS url_key, page_id FROM pages"""
+SELECT DISTINCT split_part(url, '#', 1) AS url_key FROM pages"""
 
 Q["q25_salary_by_location"] = f"""
 SELECT n_name AS location, CASE o_orderstatus WHEN 'F' THEN 'eur' ELSE 'kč' END AS "salaryCurrency",
