@@ -105,8 +105,11 @@ def equal_urls(a: Column, b: Column) -> Column:
 
 
 def url_key(url: Column) -> Column:
-    """Join and dedupe key: the sorted form without the fragment."""
-    return _rewrite(url, F.sort_array, fragment=False)
+    """Join and dedupe key: the sorted form without the fragment.
+
+    Text that is no absolute URL is its own key, so its rows are not lost.
+    """
+    return let(url, lambda u: F.coalesce(_rewrite(u, F.sort_array, fragment=False), u))
 
 
 def get_query_param(url: Column, name: str) -> Column:

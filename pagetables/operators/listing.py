@@ -69,7 +69,7 @@ def page_number(url: Column) -> Column:
 
 def listing_key(url: Column) -> Column:
     """What pages of one listing share: the canonical URL without the page number."""
-    return url_key(drop_query_param(url, "page_num"))
+    return url_key(F.coalesce(drop_query_param(url, "page_num"), url))
 
 
 @built_once

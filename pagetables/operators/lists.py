@@ -130,7 +130,8 @@ def list_pages(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = Fals
         .withColumn("entries", _links(spec, keep_base_query))
         .withColumn("tab_index", tab_index(url))
         .withColumn(
-            "capture", url_key(set_query_param(url, "tab_index", F.col("tab_index")))
+            "capture",
+            url_key(F.coalesce(set_query_param(url, "tab_index", F.col("tab_index")), url)),
         )
         .drop("nodes", "_base")
     )

@@ -157,3 +157,12 @@ def test_bad_filters():
     for options in ({"min_salary": -1}, {"remote_type": "x"}, {"employment_type": "x"}, {"min_salary_period": "day"}):
         with pytest.raises(ValueError):
             OfferFilters(**options)
+
+
+def test_pages_without_a_scheme_are_kept(spark):
+    bare = T.SITE.removeprefix("https://")
+    rows = [(1, bare + "/praca/", T.LISTING), (2, bare + "/praca/zoznam-lokalit/", T.LINKS), (3, bare + "/partneri", T.PARTNERS)]
+    pages = captured(spark.createDataFrame(rows, "page_id long, url string, html string")).coalesce(1)
+    assert len(run(pages, dataset="jobOffers", max_entries=5)) == 2
+    assert len(run(pages, dataset="locations")) == 4
+    assert len(run(pages, dataset="partners")) == 2
