@@ -60,10 +60,16 @@ def matches(node: Column, compound: str) -> Column:
 
 
 class Dom:
-    """Selectors over one array column of elements. Elements are struct columns."""
+    """Selectors over one array column of elements. Elements are struct columns.
 
-    def __init__(self, nodes: Column | str) -> None:
+    With ``box``, an element column, selectors find its descendants only. That
+    tests positions in place, which suits a box around most of the page;
+    ``within`` reads a small subtree out first.
+    """
+
+    def __init__(self, nodes: Column | str, box: Column | None = None) -> None:
         self.nodes = F.col(nodes) if isinstance(nodes, str) else nodes
+        self.box = box
 
     def root(self) -> Column:
         return F.get(self.nodes, F.lit(0))
@@ -88,7 +94,7 @@ class Dom:
 
     def find_all(self, selector: str, within: Column | None = None,
                  among: Column | None = None) -> Column:
-        """Matching descendants of ``within`` (default: the page), in document order.
+        """Matching descendants of ``within`` (default: the box or page), in document order.
 
         ``among`` is the array ``inside(within)`` when the caller has it at hand.
         """
@@ -99,6 +105,12 @@ class Dom:
                 raise ValueError(f"unsupported selector: {selector!r}")
             parts.append((m["child"] or " ", m["compound"]))
             pos = m.end()
+        if among is None and within is None and self.box is not None:
+            first, last = self.box["id"], self.box["last"]
+            return F.filter(
+                self.nodes,
+                lambda n: self._test(n, parts) & (n["id"] > first) & (n["id"] <= last),
+            )
         if among is None:
             among = self.nodes if within is None else self.inside(within)
         # the synthetic root is no element of the page

@@ -21,13 +21,13 @@ from pagetables.spec import (
 def detail_basic(dom: Dom, entry: Column, base: Column, spec: SiteSpec,
                  keep_base_query: bool = False) -> dict[str, Column]:
     """Title, employer, contract and contact fields of the offer block."""
-    css = spec.detail
+    css, dom = spec.detail, Dom(dom.nodes, box=entry)
 
     def text(name: str) -> Column:
-        return dom.text(dom.find(css[name], entry))
+        return dom.text(dom.find(css[name]))
 
     def link(name: str, attr: str) -> Column:
-        return resolve_against(base, dom.attr(dom.find(css[name], entry), attr), keep_base_query)
+        return resolve_against(base, dom.attr(dom.find(css[name]), attr), keep_base_query)
 
     return {
         "offerName": text("title"),
@@ -37,7 +37,7 @@ def detail_basic(dom: Dom, entry: Column, base: Column, spec: SiteSpec,
         "employmentTypes": codes_in_text(text("employment"), EMPLOYMENT_PHRASES),
         "startDate": text("start"),
         "location": text("location"),
-        "phoneNumbers": dom.texts(dom.find_all(css["phone"], entry)),
+        "phoneNumbers": dom.texts(dom.find_all(css["phone"])),
         "datePosted": text("posted"),
     }
 
@@ -51,7 +51,7 @@ def detail_sections(dom: Dom, entry: Column, spec: SiteSpec) -> Column:
     css = spec.detail
 
     def section_pairs(selector: str) -> Column:
-        section = dom.find(selector, entry)
+        section = Dom(dom.nodes, box=entry).find(selector)
         return let(section, lambda s: let(
             dom.find(css["section_title"], s),
             lambda sub: F.transform(
@@ -99,7 +99,7 @@ def detail_categories(dom: Dom, entry: Column, base: Column, spec: SiteSpec,
                       keep_base_query: bool = False) -> Column:
     """Category links with the lowercased heading above each, in page order."""
     items = F.filter(
-        dom.children(dom.find(spec.detail["categories"], entry)),
+        dom.children(Dom(dom.nodes, box=entry).find(spec.detail["categories"])),
         lambda n: n["tag"].isin("strong", "a"),
     )
     return let(items, lambda kids: F.filter(
@@ -147,7 +147,7 @@ def _detail_parts(spec: SiteSpec, keep_base_query: bool) -> tuple[Column, ...]:
         dom.find(css["entry"], F.col("_box")),
         detail_sections(dom, entry, spec),
         detail_categories(dom, entry, F.col("_base"), spec, keep_base_query),
-        parse_salary(dom.text(dom.find(css["salary"], entry))),
+        parse_salary(dom.text(Dom("nodes", box=entry).find(css["salary"]))),
     )
 
 
@@ -165,7 +165,7 @@ def _detail_fields(spec: SiteSpec, keep_base_query: bool) -> tuple[Column, ...]:
         "offerUrl": url,
         "offerId": offer_id(url),
         "labels": drop_empty(F.transform(
-            dom.find_all(css["label"], F.col("_box")), lambda n: dom.text_lower(n)
+            Dom("nodes", box=F.col("_box")).find_all(css["label"]), lambda n: dom.text_lower(n)
         )),
     }
     return tuple(
