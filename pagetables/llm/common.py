@@ -46,4 +46,19 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def size_in_bytes(spark: SparkSession, df: DataFrame) -> int:
     """The optimizer's estimate, which for files is their size."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """The rows of ``docs`` without those that ``decided`` (doc_id, whole, kept) drops, and one of each
+    that it keeps but that repeats id and text. Rows that it doesn't name stay. ``whole`` is the xxhash64 of the text.
+
+    Only rows that go or repeat are looked up, so that the narrow side of the join is small.
+    """
+    named = decided.groupBy("doc_id", "whole").agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows")).where("NOT __kept OR __rows > 1")
+    named = sized(stage(named.select(F.col("doc_id").alias("__id"), F.col("whole").alias("__whole"), "__kept"), "decided"))
+    marked = docs.withColumn("__text", F.xxhash64(text_of(text_column)))
+    on = F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__whole"))
+    others = marked.join(named, on, "left_anti").drop("__text")
+    repeated = marked.join(named.where("__kept"), on, "left_semi").dropDuplicates([id_column, "__text"]).drop("__text")
+    return others.unionByName(repeated)

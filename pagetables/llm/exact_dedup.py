@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sized, stage, text_of
+from .common import keep_rows, sized, stage, text_of
 
 #: A chunk ends with the first sentence or line end after the least length; without one it has the full length.
 CHUNK = r"(?s).{{{least},{last}}}?[\n.!?]|.{{1,{most}}}"
@@ -68,6 +68,10 @@ def exact_groups(
     A null text counts as empty; empty texts are equal. The largest id stays, null ids come
     last; of rows that repeat id and text, one stays. No rows give no rows. Other columns are ignored.
     """
+    return _groups(docs, id_column, text_column, params).drop("_whole")
+
+
+def _groups(docs: DataFrame, id_column: str, text_column: str, params: ChunkParams) -> DataFrame:
     rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("_text"))
     recipes = stage(
         rows.select(
@@ -98,7 +102,7 @@ def exact_groups(
         & F.col("r._variants").eqNullSafe(F.col("g._variants"))
     )
     found = keyed.alias("r").join(grouped.alias("g"), same, "left").select(
-        "r.doc_id", "r._row", "r._sha",
+        "r.doc_id", "r._row", "r._sha", "r._whole",
         F.when(F.col("g._size").isNull(), F.col("r.doc_id")).otherwise(F.col("g._keep")).alias("keep_id"),
         F.coalesce("g._size", F.lit(1)).cast("long").alias("group_size"),
     )
@@ -107,7 +111,7 @@ def exact_groups(
     return found.select(
         "doc_id", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (first == 1)).alias("kept"),
-        F.lower(F.hex("_sha")).alias("text_sha256"),
+        F.lower(F.hex("_sha")).alias("text_sha256"), "_whole",
     )
 
 
@@ -135,20 +139,5 @@ def _verified(rows, recipes, clashes, params) -> DataFrame:
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 params: ChunkParams = ChunkParams()) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat id and text, one stays."""
-    groups = stage(
-        exact_groups(docs, id_column, text_column, params).select("doc_id", "kept", "text_sha256", "group_size"),
-        "exact-groups",
-    )
-    gone = groups.groupBy("doc_id", "text_sha256").agg(
-        F.max("kept").alias("_kept"), F.count("*").alias("_rows")
-    ).where("NOT _kept OR _rows > 1")
-    gone = sized(stage(gone.select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("_kept").alias("__kept")
-    ), "exact-gone"))
-    marked = docs.withColumn("__text_sha", F.sha2(F.encode(text_of(text_column), "UTF-8"), 256))
-    on = F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text_sha") == F.col("__sha"))
-    clean = marked.join(gone, on, "left_anti").drop("__text_sha")
-    repeated = (
-        marked.join(gone.where("__kept"), on, "left_semi").dropDuplicates([id_column, "__text_sha"]).drop("__text_sha")
-    )
-    return clean.unionByName(repeated)
+    groups = _groups(docs, id_column, text_column, params).where("group_size > 1")
+    return keep_rows(docs, groups.select("doc_id", F.col("_whole").alias("whole"), "kept"), id_column, text_column)

@@ -5,22 +5,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from pagetables.sources.workspace import workspace
+
+from . import exact_dedup, mixing, packing, simhash, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """Where a public tokenizer's file is; the operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark, "tokens")
+    params = token_store.StoreParams(_tokenizer("word_bpe_49k.json"), end_id=2)
+    token_store.write_tokens(_table(spark, sf_dir, "documents"), path, params)
+    return token_store.token_digests(token_store.read_tokens(spark, path))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", simhash.hexed("fingerprint").alias("fingerprint"), "component_id", "members")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = packing.pieces(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), capacity=1024, end_id=2)
+    return packing.pack(parts, packing.PackParams(capacity=1024))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_exact_dedup, op8_mix_sources)}
+    return {f.__name__: f for f in (op1_token_store, op5_exact_dedup, op7_simhash, op8_mix_sources, op10_pack)}
