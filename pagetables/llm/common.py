@@ -44,9 +44,14 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
-def size_in_bytes(spark: SparkSession, df: DataFrame) -> int:
-    """The optimizer's estimate, which for files is their size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def parts_for(df: DataFrame, part_bytes: int) -> int:
+    """Partitions of about so many bytes by the optimizer's estimate, which for files is their size;
+    the session's number of shuffle partitions where there is no estimate."""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // part_bytes))
 
 
 def keep_rows(docs: DataFrame, decided: DataFrame, id_column: str, text_column: str) -> DataFrame:

@@ -54,5 +54,19 @@ FROM p JOIN o2 USING (rk, shard)
 """
 
 
+#: base32 from hex: five hex digits are four letters.
+OP9 = """
+WITH t AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+h AS (SELECT page_id, body, octet_length(body)::BIGINT AS n, sha1(body) AS hx, min(page_id) OVER (PARTITION BY body) AS first FROM t)
+SELECT page_id, n AS payload_bytes,
+  list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform(range(0, 4), lambda j:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(hx, (i * 5 + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * j)::BIGINT) & 31) + 1, 1)), 'string_agg', '')), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5, "op8_mix_sources": OP8}
+    return {"op5_exact_dedup": OP5, "op8_mix_sources": OP8, "op9_warc": OP9}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagetables.sources.workspace import workspace
 
-from . import exact_dedup, mixing, packing, simhash, token_store
+from . import exact_dedup, mixing, packing, simhash, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,10 +42,16 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark, "warc")
+    warc.write_warc(_table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = packing.pieces(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), capacity=1024, end_id=2)
     return packing.pack(parts, packing.PackParams(capacity=1024))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op5_exact_dedup, op7_simhash, op8_mix_sources, op10_pack)}
+    return {f.__name__: f for f in (op1_token_store, op5_exact_dedup, op7_simhash, op8_mix_sources, op9_warc, op10_pack)}

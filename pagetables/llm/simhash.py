@@ -155,7 +155,7 @@ def links(prints: DataFrame, params: SimHashParams = SimHashParams()) -> DataFra
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 params: SimHashParams = SimHashParams()) -> DataFrame:
-    """One row per document: (doc_id, whole, fingerprint, component_id, members).
+    """One row per document: (doc_id, whole, fingerprint, component_id, members, root).
 
     Documents are linked if their fingerprints differ in at most 3 bits; component_id is the smallest id
     reachable. Equal fingerprints are one class from the start, so thousands of copies are one
@@ -171,8 +171,8 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
     linked = stage(linked.select("fingerprint", "first", "rows", "root"), "linked")
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("rows").alias("members"))
-    labels = linked.join(least, "root").select("fingerprint", "component_id", "members")
-    return prints.join(labels, "fingerprint").select("doc_id", "whole", "fingerprint", "component_id", "members")
+    labels = linked.join(least, "root").select("fingerprint", "component_id", "members", "root")
+    return prints.join(labels, "fingerprint").select("doc_id", "whole", "fingerprint", "component_id", "members", "root")
 
 
 def hexed(column: str) -> Column:
@@ -186,13 +186,10 @@ def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: st
     Of rows that repeat that id, the one with the smallest hash of its text stays.
     """
     groups = stage(near_groups(docs, id_column, text_column, params).where("members > 1"), "near-groups")
-    stay = (
-        groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id").agg(F.min("whole").alias("_stays"))
-    )
-    # with the fingerprint, as ids may be null in several components
-    decided = groups.join(stay.withColumnRenamed("component_id", "_c"), F.col("component_id").eqNullSafe(F.col("_c"))).select(
-        "doc_id", "whole",
-        (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("whole") == F.col("_stays"))).alias("kept"),
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # by root, as ids may be repeated or null in several components
+    stay = groups.where(own).groupBy(F.col("root").alias("_r")).agg(F.min("whole").alias("_stays"))
+    decided = groups.join(stay, F.col("root") == F.col("_r")).select(
+        "doc_id", "whole", (own & (F.col("whole") == F.col("_stays"))).alias("kept")
     )
     return keep_rows(docs, decided, id_column, text_column)

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import size_in_bytes, sized, text_of
+from .common import parts_for, sized, text_of
 
 STORED = "doc_id long, shard int, shard_start long, n_tokens long, token_ids array<int>"
 
@@ -34,7 +34,7 @@ def write_tokens(docs: DataFrame, path: str, params: StoreParams, id_column: str
     lie side by side, ordered by their texts' hash; null ids come first. Other columns are ignored.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"))
-    parts = max(1, -(-size_in_bytes(docs.sparkSession, rows) // params.shard_bytes))
+    parts = parts_for(rows, params.shard_bytes)
     order = ["doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     (
