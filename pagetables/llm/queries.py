@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagetables.sources.workspace import workspace
 
-from . import exact_dedup, mixing, packing, simhash, token_store, warc
+from .common import fold
+from . import exact_dedup, language, mixing, packing, simhash, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,18 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    model = language.fit(docs.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    guessed = language.identify(rows, model, ["doc_id", "held_out"])
+    return guessed.select(
+        "doc_id", "held_out", F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"),
+        F.col("_cosine").alias("cosine"), F.col("_rejected").alias("rejected"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hexed("fingerprint").alias("fingerprint"), "component_id", "members")
@@ -54,4 +68,4 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op5_exact_dedup, op7_simhash, op8_mix_sources, op9_warc, op10_pack)}
+    return {f.__name__: f for f in (op1_token_store, op5_exact_dedup, op6_language, op7_simhash, op8_mix_sources, op9_warc, op10_pack)}
