@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from pagetables.sources.workspace import workspace
 
-from .common import fold
-from . import exact_dedup, language, mixing, packing, simhash, token_store, warc
+from .common import fold, sized
+from . import exact_dedup, language, mixing, packing, simhash, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,16 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_digests(token_store.read_tokens(spark, path))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    held_out = fold("doc_id", 3) == 1
+    train = docs.where(~held_out).select("doc_id", "text").join(sized(labels, rows=1_000_000), "doc_id")
+    model = toxicity.fit(train)
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return toxicity.score(rows, ["doc_id", "held_out"], model)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -68,4 +78,4 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op5_exact_dedup, op6_language, op7_simhash, op8_mix_sources, op9_warc, op10_pack)}
+    return {f.__name__: f for f in (op1_token_store, op2_toxicity, op5_exact_dedup, op6_language, op7_simhash, op8_mix_sources, op9_warc, op10_pack)}
