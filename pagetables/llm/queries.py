@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagetables.sources.workspace import workspace
 
 from .common import fold, sized
-from . import exact_dedup, language, mixing, neighbours, packing, simhash, token_store, toxicity, warc
+from . import exact_dedup, language, lm, mixing, neighbours, packing, simhash, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(rows, ["doc_id", "held_out"], model)
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 7) == 2
+    model = lm.fit(docs.where(~held_out), workspace(spark, "trie"))
+    scores = lm.score(docs.select("doc_id", held_out.alias("held_out"), "text"), ["doc_id", "held_out"], model)
+    return scores.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -82,4 +92,4 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op2_toxicity, op4_neighbours, op5_exact_dedup, op6_language, op7_simhash, op8_mix_sources, op9_warc, op10_pack)}
+    return {f.__name__: f for f in (op1_token_store, op2_toxicity, op3_lm_score, op4_neighbours, op5_exact_dedup, op6_language, op7_simhash, op8_mix_sources, op9_warc, op10_pack)}
