@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage, text_of
+from .common import small_batches, stage, text_of
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
         for batch in stream:
             keys, texts = batch.column(0), batch.column(1)
             for a, b in batches(texts):
-                flat, lengths = code.encode(texts.slice(a, b - a).to_pylist())
+                flat, lengths = code.encode(texts.slice(a, b - a))
                 ends = np.cumsum(lengths)
                 flat = np.insert(flat, ends, end_id)
                 total = lengths + 1
@@ -206,7 +206,8 @@ def pack(parts: DataFrame, params: PackParams = PackParams()) -> DataFrame:
     Repeated rows are pieces of their own; null ids are ids like any other. No rows give no rows.
     """
     p = params
-    parts = stage(parts.select("doc_id", "piece", "start", "length", "ids_crc32"), "pieces")
+    with small_batches(parts.sparkSession):
+        parts = stage(parts.select("doc_id", "piece", "start", "length", "ids_crc32"), "pieces")
     counts = _histogram(parts, "length")
     order = ["doc_id", "piece", "start", "ids_crc32"]
     ranked = stage(_ranked(parts, "length", order, sum(counts.values()), p.part_rows), "ranked-pieces")

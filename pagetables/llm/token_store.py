@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import parts_for, sized, text_of
+from .common import parts_for, sized, small_batches, text_of
 
 STORED = "doc_id long, shard int, shard_start long, n_tokens long, token_ids array<int>"
 
@@ -37,17 +37,18 @@ def write_tokens(docs: DataFrame, path: str, params: StoreParams, id_column: str
     parts = parts_for(rows, params.shard_bytes)
     order = ["doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    (
-        ordered.mapInArrow(_encoder(params), STORED)
-        .write.option("compression", "zstd")
-        .option("parquet.writer.version", "v2")
-        .option("parquet.block.size", params.row_group_bytes)
-        .option("parquet.page.row.count.limit", params.page_rows)
-        .option("parquet.enable.dictionary", "true")
-        .option("parquet.dictionary.page.size", params.dictionary_bytes)
-        .parquet(f"{path}/tokens")
-    )
     spark = docs.sparkSession
+    with small_batches(spark):
+        (
+            ordered.mapInArrow(_encoder(params), STORED)
+            .write.option("compression", "zstd")
+            .option("parquet.writer.version", "v2")
+            .option("parquet.block.size", params.row_group_bytes)
+            .option("parquet.page.row.count.limit", params.page_rows)
+            .option("parquet.enable.dictionary", "true")
+            .option("parquet.dictionary.page.size", params.dictionary_bytes)
+            .parquet(f"{path}/tokens")
+        )
     lengths = _files(spark, path).groupBy("shard").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents"))
     # one row per file, so a plain window is enough
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -62,7 +63,7 @@ def _encoder(params: StoreParams):
         for batch in stream:
             keys, texts = batch.column(0), batch.column(1)
             for a, b in batches(texts):
-                ids, lengths = code.encode(texts.slice(a, b - a).to_pylist())
+                ids, lengths = code.encode(texts.slice(a, b - a))
                 ends = np.cumsum(lengths)
                 ids = np.insert(ids, ends, params.end_id)
                 offsets = np.concatenate(([0], ends + np.arange(1, b - a + 1)))

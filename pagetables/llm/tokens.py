@@ -6,16 +6,22 @@ import json
 import os
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 
-_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+from .worker import held
+
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
 #: Pieces of Latin words, marks and single line ends. The pre-tokenizers known here cut between all of these.
-_SIMPLE = re.compile(rf"(?:[{_LETTERS}]++|[.,;:!?]++|\n(?=[{_LETTERS}]))++")
+_SIMPLE = re.compile(rf"([{_LETTERS}]++|[.,;:!?]++)(?:[{_LETTERS}]++|[.,;:!?]++|\n(?=[{_LETTERS}]))*+")
+_MARKS = frozenset(".,;:!?")
 _SEGMENT = re.compile(rf"[{_LETTERS}]+|[.,;:!?]+|\n")
 
 
+#: White space right after a space belongs to the piece before.
+_ODD = r"^(?:$|[\s\x1c-\x1f\x{85}\p{Z}])"
+
+
 class _Numbers(dict):
     """Numbers of known pieces; -1 for others."""
 
@@ -23,10 +29,6 @@ class _Numbers(dict):
         return -1
 
 
-class _OddPieces(Exception):
-    """Pieces that don't begin at a cut."""
-
-
 class WordCoder:
     """Encodes texts as ``Tokenizer.encode_batch(..., add_special_tokens=False)`` does, piece by piece.
 
@@ -39,9 +41,9 @@ class WordCoder:
     that isn't enough. A piece longer than ``longest`` is encoded and not kept.
     """
 
-    def __init__(self, path: str, keep: int = 500_000, longest: int = 40):
+    def __init__(self, path: str, keep: int = 200_000, longest: int = 40):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as file:
             shape = json.load(file)
@@ -62,11 +64,18 @@ class WordCoder:
             # a word joined by spaces shows in its ids where it begins, or where it ends
             self.edge[k] = word.startswith("\u0120") if self.prefixed else bool(suffix) and word.endswith(suffix)
         self.marked = self.prefixed or bool(suffix)
+        #: plain words come cut and, where white space is dropped, in lower case: the model alone has to act
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "merged_with_next") if self.prefixed else pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
+        self.tokenizer.model._resize_cache(0)  # words are remembered here
         self._forget()
 
     def _forget(self) -> None:
-        #: pieces after a space, pieces at the begin of a text, words after a space, words elsewhere
-        self.tables = {name: _Numbers() for name in ("piece", "head", "word", "bare")}
+        #: pieces with the space before them, and pieces without
+        self.tables = {name: _Numbers() for name in ("after", "bare")}
         self.starts, self.lengths, self.hits = (np.zeros(1 << 16, np.int64) for _ in range(3))
         self.count = 0
         self.pool, self.used = np.zeros(1 << 18, np.int32), 0
@@ -106,128 +115,153 @@ class WordCoder:
         numbers = np.fromiter(map(table.__getitem__, pieces), np.int64, len(pieces))
         missing = np.flatnonzero(numbers < 0).tolist()
         if missing:
-            new = list(dict.fromkeys([pieces[k] for k in missing]))
-            own = self._words(new, name) if name in ("word", "bare") else self._pieces(new, name)
-            numbers[missing] = [own[pieces[k]] for k in missing]
+            new = [pieces[k] for k in missing]
+            own = self._learn(list(dict.fromkeys(new)), name)
+            numbers[missing] = list(map(own.__getitem__, new))
         met = np.bincount(numbers, minlength=1)
         self.hits[:len(met)] += met
         return numbers
 
-    def _pieces(self, new: list[str], name: str) -> dict[str, int]:
-        """Numbers of new pieces: plain ones made of words, others encoded whole."""
-        if name == "piece" and self.prefixed:
-            # odd pieces are never kept, so they are always among the new ones
-            odd = {p for p in new if _odd(p)}
-            if odd:
-                raise _OddPieces(odd)
-        plain = [p for p in new if len(p) <= self.longest and _SIMPLE.fullmatch(p)]
-        own: dict[str, int] = {}
-        if plain:
-            parts = [_SEGMENT.findall(p) for p in plain]
-            counts = np.array(list(map(len, parts)), np.int64)
-            flat = [w for p in parts for w in p]
-            at = np.cumsum(counts) - counts
-            if name == "piece" and self.lead:
-                leading = np.zeros(len(flat), bool)
-                leading[at] = True
-                words = np.zeros(len(flat), np.int64)
-                words[leading] = self._numbers([p[0] for p in parts], "word")
-                words[~leading] = self._numbers([w for p in parts for w in p[1:]], "bare")
+    def _learn(self, new: list[str], name: str) -> dict[str, int]:
+        """Numbers of new pieces: words encoded, plain pieces made of words, others encoded whole."""
+        lead = self.lead if name == "after" else ""
+        words, made, other = [], [], []
+        for p in new:
+            found = _SIMPLE.match(p) if len(p) <= self.longest else None
+            if not found or found.end() < len(p):
+                other.append(p)
+            elif found.end(1) == len(p):
+                (other if p[0] in _MARKS else words).append(p)
             else:
-                words = self._numbers(flat, "bare")
-            sizes = self.lengths[words]
-            first = self._add(_gather(self.pool, self.starts[words], sizes), np.add.reduceat(sizes, at))
-            own.update(zip(plain, range(first, first + len(plain))))
+                made.append(p)
+        own = self._words(words, lead) if self.marked and (lead or self.dropped) else self._encoded(words, lead)
         self.tables[name].update(own)
-        if len(own) < len(new):
-            own.update(self._encoded([p for p in new if p not in own], self.lead if name == "piece" else "", name))
+        if made:
+            parts = [_SEGMENT.findall(p) for p in made]
+            counts = np.fromiter(map(len, parts), np.int64, len(parts))
+            at = np.cumsum(counts) - counts
+            if lead:
+                first = np.zeros(int(counts.sum()), bool)
+                first[at] = True
+                numbers = np.zeros(len(first), np.int64)
+                numbers[first] = self._numbers([p[0] for p in parts], "after")
+                numbers[~first] = self._numbers([w for p in parts for w in p[1:]], "bare")
+            else:
+                numbers = self._numbers([w for p in parts for w in p], "bare")
+            sizes = self.lengths[numbers]
+            start = self._add(_gather(self.pool, self.starts[numbers], sizes), np.add.reduceat(sizes, at))
+            composed = dict(zip(made, range(start, start + len(made))))
+            self.tables[name].update(composed)
+            own.update(composed)
+        if other:
+            whole = self._encoded(other, lead)
+            self.tables[name].update((p, k) for p, k in whole.items() if len(p) <= self.longest)
+            own.update(whole)
         return own
 
-    def _words(self, new: list[str], name: str) -> dict[str, int]:
-        """Numbers of new words, encoded many at once where their ids show the cuts."""
-        lead = self.lead if name == "word" else ""
-        joined = [w for w in new if w[0].isalpha()] if self.marked and (lead or self.dropped) else []
+    def _words(self, new: list[str], lead: str) -> dict[str, int]:
+        """Numbers of new words, encoded many at once; their ids show where each begins or ends."""
         own: dict[str, int] = {}
-        for at in range(0, len(joined), 512):
-            part = joined[at:at + 512]
-            ids = np.array(self._plain([" " + " ".join(part)])[0], np.int32)
+        for at in range(0, len(new), 512):
+            part = new[at:at + 512]
+            line = " " + " ".join(part)
+            ids = np.array(self.model.encode_batch_fast([line if self.prefixed else line.lower()], add_special_tokens=False)[0].ids, np.int32)
             edges = np.flatnonzero(self.edge[ids])
             if len(edges) != len(part):
+                own.update(self._encoded(part, lead))
                 continue
             cuts = np.append(edges, len(ids)) if self.prefixed else np.insert(edges + 1, 0, 0)
             first = self._add(ids, np.diff(cuts))
             own.update(zip(part, range(first, first + len(part))))
-        self.tables[name].update(own)
-        if len(own) < len(new):
-            own.update(self._encoded([w for w in new if w not in own], lead, name))
         return own
 
-    def _encoded(self, new: list[str], lead: str, name: str) -> dict[str, int]:
+    def _encoded(self, new: list[str], lead: str) -> dict[str, int]:
         own: dict[str, int] = {}
         for at in range(0, len(new), 256):
             part = new[at:at + 256]
-            ids = self._plain([lead + p for p in part])
-            first = self._add(np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64))
+            ids, lengths = _joined(self._plain([lead + p for p in part]))
+            first = self._add(ids, lengths)
             own.update(zip(part, range(first, first + len(part))))
-        self.tables[name].update((p, k) for p, k in own.items() if len(p) <= self.longest)
         return own
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts end to end, and how many each text has."""
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of an Arrow string column end to end, and how many each text has."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
         if not (self.prefixed or self.dropped):
-            ids = self._plain(texts)
-            return np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
+            return _joined(self._plain(texts.to_pylist()))
         if self.count > 2 * self.keep or self.used > 16 * self.keep:
             self._shrink()
-        parts = [t.split(" ") for t in texts]
-        if self.prefixed:
-            heads = [p.pop(0) for p in parts]
-        try:
-            numbers = self._numbers([x for p in parts for x in p], "piece")
-        except _OddPieces as found:
-            odd = found.args[0]
-            for k, p in enumerate(parts):
-                if not odd.isdisjoint(p):
-                    heads[k], parts[k] = _merged(heads[k], p)
-            numbers = self._numbers([x for p in parts for x in p], "piece")
-        counts = np.array(list(map(len, parts)), np.int64)
-        if self.prefixed:
-            numbers = np.insert(numbers, np.cumsum(counts) - counts, self._numbers(heads, "head"))
-            counts = counts + 1
+        if self.dropped:
+            # lower case comes anyway, and a mark after a letter is a word of its own: fewer words differ
+            spaced = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z0-9])([.,;:!?])", r"\1 \2")
+            lists = pc.ascii_split_whitespace(spaced)
+        else:
+            lists = pc.split_pattern(texts, " ")
+        offsets = np.asarray(lists.offsets).astype(np.int64)
+        flat = lists.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0]))
+        offsets = offsets - offsets[0]
+        coded = flat.dictionary_encode()
+        place, distinct = np.asarray(coded.indices), coded.dictionary.to_pylist()
+        counts = np.diff(offsets)
+        if not self.prefixed:
+            numbers = self._numbers(distinct, "bare")[place]
+            return self._runs(numbers, counts)
+        inner = np.ones(len(place), bool)
+        inner[offsets[:-1]] = False
+        used = np.flatnonzero(np.bincount(place[inner], minlength=len(distinct)))
+        of = np.zeros(len(distinct), np.int64)
+        pieces = [distinct[k] for k in used]
+        odd = used[np.asarray(pc.match_substring_regex(coded.dictionary, _ODD))[used]]
+        if len(odd):
+            # white space right after a space isn't a cut: such texts are encoded whole
+            strange = np.zeros(len(distinct), bool)
+            strange[odd] = True
+            text_of = np.repeat(np.arange(len(counts)), counts)
+            whole = np.zeros(len(counts), bool)
+            whole[text_of[inner & strange[place]]] = True
+            return self._merged(texts, whole)
+        of[used] = self._numbers(pieces, "after")
+        numbers = of[place]
+        numbers[offsets[:-1]] = self._numbers([distinct[k] for k in place[offsets[:-1]]], "bare")
+        return self._runs(numbers, counts)
+
+    def _runs(self, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self.lengths[numbers]
         sums, upto = np.concatenate(([0], np.cumsum(lengths))), np.cumsum(counts)
         return _gather(self.pool, self.starts[numbers], lengths), sums[upto] - sums[upto - counts]
 
+    def _merged(self, texts, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        import pyarrow as pa
 
-def _gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+        strange, strange_lengths = _joined(self._plain(texts.filter(pa.array(whole)).to_pylist()))
+        plain, plain_lengths = self.encode(texts.filter(pa.array(~whole))) if not whole.all() else _joined([])
+        lengths = np.zeros(len(whole), np.int64)
+        lengths[whole], lengths[~whole] = strange_lengths, plain_lengths
+        from_strange = np.repeat(whole, lengths)
+        ids = np.zeros(len(from_strange), np.int32)
+        ids[from_strange], ids[~from_strange] = strange, plain
+        return ids, lengths
 
 
-def _odd(piece: str) -> bool:
-    """White space right after a space stays with the piece before."""
-    return not piece or piece[0].isspace()
+def _joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
 
 
-def _merged(head: str, pieces: list[str]) -> tuple[str, list[str]]:
-    runs = [[head]]
-    for p in pieces:
-        if _odd(p):
-            runs[-1].append(p)
-        else:
-            runs.append([p])
-    whole = [" ".join(r) for r in runs]
-    return whole[0], whole[1:]
+def _gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
 
 
-@lru_cache(maxsize=2)
 def coder(path: str) -> WordCoder:
-    """One coder for a worker, kept from task to task."""
-    return WordCoder(path)
+    """The coder that this worker holds from task to task."""
+    return held(lambda: WordCoder(path), path)
 
 
-def batches(texts, chars: int = 1_000_000):
+def batches(texts, chars: int = 2_000_000):
     """Spans of an Arrow string column of about so many characters; a longer text is a span of its own."""
     import pyarrow as pa
     import pyarrow.compute as pc
