@@ -121,6 +121,7 @@ class _Columns:
             return 0
 
         pos, size = 0, len(html)
+        last_end = html.rfind(">")  # no tag ends after it
         name, attrs = "#root", ""
         leaf, too_deep = False, 0
         # where the next text goes: `text` of an open element or `tail` of a closed one
@@ -189,6 +190,10 @@ class _Columns:
                 into[at] += unescape(piece) if "&" in piece else piece
                 if lt < 0:
                     break
+            if lt > last_end and not html.startswith("<!--", lt):
+                rest = html[lt:]
+                into[at] += unescape(rest) if "&" in rest else rest
+                break
             m = match(html, lt)
             if m is None:
                 into[at] += "<"

@@ -51,6 +51,39 @@ def running_rows(pages: DataFrame) -> DataFrame:
     )
 
 
+def run_rows(pages: DataFrame) -> DataFrame:
+    """``running_rows`` with ``before`` counted over all listings of a run, in the order of their keys.
+
+    Pages after a listing's end count nothing. The window over listings has one row per listing.
+    """
+    placed = running_rows(pages).filter(
+        F.col("end_page").isNull() | (F.col("page_num") < F.col("end_page"))
+    )
+    earlier = Window.orderBy("_listing").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(F.col("listing").alias("_listing")).agg(F.sum("n").alias("_rows"))
+    offsets = offsets.select("_listing", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_earlier"))
+    return placed.join(offsets, F.col("listing") == F.col("_listing")).select(
+        "listing", "page_num", "n", (F.col("before") + F.col("_earlier")).alias("before"), "end_page"
+    )
+
+
+def limit_rows(rows: DataFrame, limit: int, existing: int = 0) -> DataFrame:
+    """The first ``limit`` less ``existing`` rows of a run, by listing, page_num and pos.
+
+    Counts per page are summed up in two levels, so no task holds the kept rows. The input
+    is read twice, so pass a written table.
+    """
+    counts = rows.groupBy("listing", "page_num").agg(F.count(F.lit(1)).alias("n"))
+    left = F.lit(max(limit - existing, 0)) - F.col("before")
+    quota = run_rows(counts.withColumn("empty", F.lit(False))).select(
+        F.col("listing").alias("_listing"), F.col("page_num").alias("_page"),
+        F.least(F.col("n"), left).alias("_keep"),
+    ).filter("_keep > 0")
+    nth = F.row_number().over(Window.partitionBy("listing", "page_num").orderBy("pos"))
+    found = rows.join(quota, (F.col("listing") == F.col("_listing")) & (F.col("page_num") == F.col("_page")))
+    return found.withColumn("_nth", nth).filter("_nth <= _keep").drop("_listing", "_page", "_keep", "_nth")
+
+
 def page_quota(pages: DataFrame, limit: int | None = None, existing: int = 0,
                until_empty: bool = True) -> DataFrame:
     """How many rows to keep of each listing page: (listing, page_num, keep).
@@ -91,14 +124,15 @@ def next_page_url(url: Column) -> Column:
     return set_query_param(url, "page_num", page_number(url) + 1)
 
 
-def next_pages(pages: DataFrame, limit: int | None = None, existing: int = 0) -> DataFrame:
+def next_pages(pages: DataFrame, limit: int | None = None, existing: int = 0,
+               per_run: bool = False) -> DataFrame:
     """Frontier rows: the page after each captured page that had rows, until the limit.
 
-    A page that uses the limit up asks for no further page.
+    A page that uses the limit up asks for no further page. ``per_run``: the limit is one for all listings.
     """
     source = pages.filter(~F.col("empty"))
     if limit is not None:
-        still_open = running_rows(pages).filter(
+        still_open = (run_rows if per_run else running_rows)(pages).filter(
             F.col("before") + F.col("n") < max(limit - existing, 0)
         )
         source = source.join(

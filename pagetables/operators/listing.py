@@ -87,7 +87,10 @@ def _counter(spec: SiteSpec) -> Column:
 
 @built_once
 def _listing() -> Column:
-    return listing_key(F.col("effective_url"))
+    """A page whose number can't be read is a listing of its own, lest it take the first page's place."""
+    url = F.col("effective_url")
+    known = F.col("page.list_page_num").isNotNull() | page_number(url).isNotNull()
+    return F.when(known, listing_key(url)).otherwise(url_key(url))
 
 
 @built_once

@@ -56,13 +56,16 @@ def latest_pages(pages: DataFrame) -> DataFrame:
     return latest(keyed, "_at", *capture_order()).drop("_at")
 
 
-def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "listing") -> DataFrame:
+def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "listing",
+                         carry: tuple[str, ...] = ()) -> DataFrame:
     """Overlay listing rows with their detail pages.
 
     The detail page wins even where it has nothing; only ``FROM_LISTING`` comes
     from the card. ``how="listing"``: one row per card with a captured detail
-    page, cards without an offer URL skipped. ``how="detail"``: one row per
+    page, cards without an offer URL skipped. ``how="both"``: these, and the
+    detail pages that no card leads to. ``how="detail"``: one row per
     detail page and card, or per page alone when no card leads to it.
+    Columns of the cards named in ``carry`` come along.
 
     Detail pages captured more than once count once, so cards cannot multiply.
     The cards are cut down to a key and a few columns before they shuffle. Both
@@ -71,9 +74,9 @@ def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "list
     many tasks; only inner joins can be split on that side, so offers without a
     card are added by an anti join on the distinct keys.
     """
-    if how not in ("listing", "detail"):
-        raise ValueError(f"how must be 'listing' or 'detail', got {how!r}")
-    by_listing = how == "listing"
+    if how not in ("listing", "detail", "both"):
+        raise ValueError(f"how must be 'listing', 'detail' or 'both', got {how!r}")
+    by_listing = how != "detail"
     pages = latest(
         detail.withColumn("_offer", url_key(F.col("page.url"))), "_offer", *capture_order()
     )
@@ -85,12 +88,13 @@ def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "list
             "_offer",
             *[F.col(c).alias("_" + c) for c in FROM_LISTING],
             *(carried if by_listing else []),
+            *[F.col(c).alias("_" + c) for c in carry],
         )
     )
-    if not by_listing:
+    if how != "listing":
         pages, cards = cut(pages, "details"), cut(cards, "cards")
     merged = pages.drop(*FROM_LISTING).join(cards, "_offer")
-    if not by_listing:
+    if how != "listing":
         alone = pages.join(cards.select("_offer").distinct(), "_offer", "left_anti")
         merged = merged.unionByName(
             alone.drop(*FROM_LISTING), allowMissingColumns=True
@@ -98,12 +102,13 @@ def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "list
     values = {c: F.col("_" + c) for c in FROM_LISTING}
     page = F.col("page")
     if by_listing:
-        page = F.col("_page")
-        values["offerUrl"] = F.col("_url")
-        values["offerId"] = offer_id(F.col("_url"))
+        page = F.coalesce("_page", "page")
+        values["offerUrl"] = F.coalesce("_url", "offerUrl")
+        values["offerId"] = F.coalesce(offer_id(F.col("_url")), F.when(F.col("_url").isNull(), F.col("offerId")))
     return merged.select(
         page.alias("page"),
         *[values.get(f.name, F.col(f.name)).alias(f.name) for f in OFFER_DETAILED],
+        *[F.col("_" + c).alias(c) for c in carry],
     )
 
 
@@ -113,17 +118,23 @@ def only_new(rows: DataFrame, prior: DataFrame, key: tuple[str, ...],
 
     Both sides are reduced to one row per key before they meet (the earlier
     output to its key columns only), so repeated keys are gone by map-side
-    aggregation and the join reuses the partitioning of the aggregates. Keys
-    compare null-safe: rows without a key count as one entry.
+    aggregation and the join reuses the partitioning of the aggregates. Rows
+    with a NULL in their key are told apart by all that they hold, and only an equal earlier row makes them old.
     """
     as_key = F.struct(*key)
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
     pick = F.struct(*order) if order else F.struct(*[c for c, t in rows.dtypes if "map<" not in t])
     fresh = (
-        rows.groupBy(as_key.alias("_key"))
+        rows.filter(known).groupBy(as_key.alias("_key"))
         .agg(F.min_by(F.struct(*rows.columns), pick).alias("_row"))
     )
-    seen = prior.select(as_key.alias("_key")).distinct()
-    return fresh.join(seen, "_key", "left_anti").select("_row.*")
+    seen = prior.filter(known).select(as_key.alias("_key")).distinct()
+    new = fresh.join(seen, "_key", "left_anti").select("_row.*")
+    shared = [c for c in rows.columns if c in prior.columns and c != "metadata"]
+    content = F.sha2(F.to_json(F.struct(*shared)), 256).alias("_content")
+    old = prior.filter(~known).select(content).distinct()
+    keyless = rows.filter(~known).withColumn("_content", content)
+    return new.unionByName(keyless.join(old, "_content", "left_anti").drop("_content"))
 
 
 def frontier_gap(needed: DataFrame, captured: DataFrame) -> DataFrame:
@@ -194,8 +205,14 @@ def offer_filters(filters: OfferFilters, field: Callable[[str], Column],
     return reduce(lambda a, b: a & b, tests)
 
 
-def filter_cards(pages: DataFrame, filters: OfferFilters) -> DataFrame:
-    """User filters on the entries of listing pages, before any limit counts them."""
+def filter_cards(pages: DataFrame, filters: OfferFilters, detailed: bool = False) -> DataFrame:
+    """User filters on the entries of listing pages, before any limit counts them.
+
+    Of a ``detailed`` offer only the listing's URL stays as the card has it, so only what it
+    answers is tested here.
+    """
+    if detailed:
+        filters = OfferFilters(remote_type=filters.remote_type)
     if filters == OfferFilters():
         return pages
     kept = F.filter("entries", lambda e: offer_filters(filters, lambda f: e[f], detailed=False))

@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagetables.functions.urls import set_query_params
 from pagetables.operators import detail as D
 from pagetables.operators import lists as L
 from pagetables.operators import listing as Li
 from pagetables.operators.govern import redact, user_hooks, with_metadata
-from pagetables.operators.limits import frontier, limit_entries, next_pages
+from pagetables.operators.limits import frontier, limit_entries, limit_rows, next_pages, run_rows
 from pagetables.operators.relational import (
     capture_order, entry_key, filter_cards, frontier_gap, latest, latest_pages,
     merge_listing_detail, offer_filters, only_new,
 )
 from pagetables.operators.routing import (
-    needs_page_test, quarantine, redirect_seed, route_pages, routed_dom,
+    list_kind, needs_page_test, quarantine, redirect_seed, route, route_pages, routed_dom,
 )
 from pagetables.params import OfferFilters, RunParams
 from pagetables.schemas import dataset_schema
@@ -28,6 +29,9 @@ from pagetables.spec import (
 )
 
 
+UNKNOWN_LIST = "related list without a dataset"
+
+
 def listing_url_with_filters(url: Column, filters: OfferFilters,
                              employment_path: bool = False) -> Column:
     """Listing URL that asks the site for the filtered offers.
@@ -52,25 +56,75 @@ def listing_url_with_filters(url: Column, filters: OfferFilters,
     return set_query_params(url, values) if values else url
 
 
-def offers(pages: DataFrame, spec: SiteSpec, params: RunParams, existing: int = 0) -> DataFrame:
-    """Job offers: cards of the listing pages, with their detail pages if asked for.
+#: Where a row stands in its run; limits count in this order.
+ORDER = ("listing", "page_num", "pos")
 
-    The limit counts cards that pass the filters a card can answer.
-    """
-    listing = latest_pages(
+
+def listing_of(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFrame:
+    """Listing pages, one row per listing and page number."""
+    return latest_pages(
         Li.listing_pages(routed_dom(pages, spec, "jobListing"), spec, params.keep_base_query)
     )
-    if params.count_only:
-        return Li.result_totals(listing)
-    listing = filter_cards(listing, params.filters)
+
+
+def offer_cards(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFrame:
+    """Cards that pass what a card can answer; with a limit, up to a listing's first empty page."""
+    listing = filter_cards(listing_of(pages, spec, params), params.filters, params.detailed)
     if params.max_entries is not None:
-        listing = limit_entries(cut(listing, "listing"), params.max_entries, existing)
-    cards = Li.explode_entries(listing)
-    if not params.detailed:
+        listing = limit_entries(cut(listing, "listing"))
+    return Li.explode_entries(listing)
+
+
+def offer_details(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFrame:
+    return D.job_details(routed_dom(pages, spec, "jobDetail"), spec, params.keep_base_query)
+
+
+def detailed_offers(cards: DataFrame, detail: DataFrame, params: RunParams, how: str = "both") -> DataFrame:
+    """Cards with their detail pages, and detail pages without a card, that pass the filters.
+
+    The filters see the merged row, as the detail page overwrites what a card says. Pages without a card come after the
+    listings, in parts of the run's order.
+    """
+    merged = merge_listing_detail(cards, detail, how, ORDER).filter(offer_filters(params.filters, F.col))
+    place = F.xxhash64("offerUrl")
+    return merged.withColumns({
+        "page_num": F.when(F.col("listing").isNull(), F.pmod(place, F.lit(1 << 16))).otherwise(F.col("page_num")),
+        "pos": F.when(F.col("listing").isNull(), place).otherwise(F.col("pos").cast("bigint")),
+        "listing": F.coalesce("listing", F.lit("\U0010ffff")),
+    })
+
+
+def offers(pages: DataFrame, spec: SiteSpec, params: RunParams, lone_details: bool = False) -> DataFrame:
+    """Job offers: cards of the listing pages, with their detail pages if asked for.
+
+    A detailed run also has the captured detail pages that no card leads to; with ``lone_details`` a simple run has
+    them too, as far as a card's fields go.
+    """
+    if params.count_only:
+        return Li.result_totals(listing_of(pages, spec, params))
+    cards = offer_cards(pages, spec, params)
+    if params.detailed:
+        return detailed_offers(cards, offer_details(pages, spec, params), params)
+    if not lone_details:
         return cards
-    detail = D.job_details(routed_dom(pages, spec, "jobDetail"), spec, params.keep_base_query)
-    merged = merge_listing_detail(cards, detail)
-    return merged.filter(offer_filters(params.filters, F.col))
+    alone = replace(params, detailed=True)
+    every = detailed_offers(cards, offer_details(pages, spec, alone), alone)
+    names = ["page", *[f.name for f in dataset_schema("jobOffers", False) if f.name != "metadata"], *ORDER]
+    own = every.filter(F.col("listing") == "\U0010ffff").select(*names)
+    return cards.select(*names[:-1], F.col("pos").cast("bigint").alias("pos")).unionByName(own)
+
+
+def start_datasets(spark: SparkSession, spec: SiteSpec, urls: tuple[str, ...]) -> dict[str, set[str]]:
+    """The datasets that start URLs belong to, each with the routes that lead to it."""
+    u = F.col("u")
+    found: dict[str, set[str]] = {}
+    for r in spark.createDataFrame([(x,) for x in urls], "u string").select(route(u, spec).alias("r"), list_kind(u, spec).alias("k")).collect():
+        kind = {"jobListing": "jobOffers", "jobDetail": "jobOffers", "mainPage": "jobOffers", "partners": "partners"}.get(r.r)
+        kind = r.k if r.r == "jobRelatedList" else kind
+        if kind is None:
+            raise ValueError(f"no dataset for a start URL of route {r.r}")
+        found.setdefault(kind, set()).add(r.r)
+    return found
 
 
 def link_list(pages: DataFrame, kind: str, spec: SiteSpec, params: RunParams) -> DataFrame:
@@ -83,13 +137,18 @@ def link_list(pages: DataFrame, kind: str, spec: SiteSpec, params: RunParams) ->
     found = L.list_pages(
         routed_dom(wanted, spec, "jobRelatedList"), spec, params.keep_base_query
     )
-    links = L.explode_rows(latest(found, "capture", *capture_order()))
+    links = in_order(L.explode_rows(latest(found, "capture", *capture_order())))
     return L.locations_list(links) if kind == "locations" else L.generic_list(links, kind)
 
 
 def partner_list(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFrame:
     found = L.partner_pages(routed_dom(pages, spec, "partners"), spec, params.keep_base_query)
-    return L.explode_rows(latest(found, "capture", *capture_order()))
+    return in_order(L.explode_rows(latest(found, "capture", *capture_order())))
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """Rows of a list page, which is a listing of one page."""
+    return rows.withColumns({"listing": F.col("capture"), "page_num": F.lit(1).cast("bigint")})
 
 
 def run_dataset(pages: DataFrame, spec: SiteSpec, params: RunParams,
@@ -98,39 +157,57 @@ def run_dataset(pages: DataFrame, spec: SiteSpec, params: RunParams,
 
     ``pages`` is the output of ``read_pages``; ``prior`` is earlier output of the
     same dataset, whose entries are left out; ``existing`` counts rows already
-    delivered towards ``max_entries``.
+    delivered towards ``max_entries``, which is one limit for the whole run.
+    Start URLs choose the dataset by their route; a run from detail pages alone gives detailed rows.
+    With a limit or a merge with lone detail pages, jobs that stage rows run right away.
     """
-    kind = params.dataset or "jobOffers"
+    kind, lone = params.dataset or "jobOffers", False
+    if params.start_urls:
+        started = start_datasets(pages.sparkSession, spec, params.start_urls)
+        if len(started) > 1:
+            raise ValueError(f"start URLs of several datasets: {sorted(started)}; run each on its own")
+        kind, routes = next(iter(started.items()))
+        lone = "jobDetail" in routes
+        if routes == {"jobDetail"}:
+            params = replace(params, detailed=True)
     if kind == "jobOffers":
-        rows = offers(pages, spec, params, existing)
+        rows = offers(pages, spec, params, lone)
         if params.count_only:
             return rows
+    elif kind == "partners":
+        rows = partner_list(pages, spec, params)
     else:
-        rows = (
-            partner_list(pages, spec, params)
-            if kind == "partners"
-            else link_list(pages, kind, spec, params)
-        )
-        if params.max_entries is not None:
-            # page order, kept as a distributed top-n
-            rows = rows.orderBy("capture", "pos").limit(max(params.max_entries - existing, 0))
+        rows = link_list(pages, kind, spec, params)
+    return finished(rows, kind, params, prior, existing)
+
+
+def finished(rows: DataFrame, kind: str, params: RunParams, prior: DataFrame | None = None,
+             existing: int = 0) -> DataFrame:
+    """Extracted rows as the dataset shows them: only new ones, up to the limit, masked and through the user's hooks."""
     fields = dataset_schema(kind, params.detailed).fieldNames()
-    rows = with_metadata(rows, params).select(*fields, "metadata")
-    if kind == "jobOffers" and params.detailed:
-        rows = redact(rows, PRIVATE_FIELDS, params.include_personal_data)
-    rows = user_hooks(rows, params.transform, params.keep_if)
+    rows = with_metadata(rows, params).select(*fields, "metadata", *[F.col(c).alias(f"_{c}") for c in ORDER])
     if prior is not None:
         rows = only_new(rows, prior, entry_key(kind))
-    return rows
+    if params.max_entries is not None:
+        ordered = rows.withColumnsRenamed({f"_{c}": c for c in ORDER})
+        rows = limit_rows(cut(ordered, "rows"), params.max_entries, existing).select(*fields, "metadata")
+    rows = rows.select(*fields, "metadata")
+    if kind == "jobOffers" and params.detailed:
+        rows = redact(rows, PRIVATE_FIELDS, params.include_personal_data)
+    return user_hooks(rows, params.transform, params.keep_if)
 
 
 def rejected_pages(pages: DataFrame, spec: SiteSpec) -> DataFrame:
-    """The quarantine table: unsupported pages with the reason.
+    """The quarantine table: unsupported pages with the reason, and lists without a dataset.
 
     Only pages whose route hangs on their content are parsed.
     """
-    doubtful = route_pages(pages, spec).filter(needs_page_test(F.col("effective_url"), spec))
-    return quarantine(routed_dom(doubtful, spec), spec)[1]
+    routed = route_pages(pages, spec)
+    doubtful = routed.filter(needs_page_test(F.col("effective_url"), spec))
+    nameless = routed.filter((F.col("route") == "jobRelatedList") & F.col("list_kind").isNull()).select(
+        F.col("effective_url").alias("url"), "route", F.lit(UNKNOWN_LIST).alias("reason")
+    )
+    return quarantine(routed_dom(doubtful, spec), spec)[1].unionByName(nameless)
 
 
 def stage_by_route(pages: DataFrame, spec: SiteSpec, path: str | None = None) -> DataFrame:
@@ -138,7 +215,8 @@ def stage_by_route(pages: DataFrame, spec: SiteSpec, path: str | None = None) ->
     them back. Every dataset then reads its own partition and not all pages."""
     path = path or workspace(pages.sparkSession, "routed")
     route_pages(pages, spec).write.mode("overwrite").partitionBy("route", "list_kind").parquet(path)
-    schema = pages.schema.add("route", "string").add("list_kind", "string")
+    routed = [T.StructField("route", T.StringType()), T.StructField("list_kind", T.StringType())]
+    schema = T.StructType([*pages.schema.fields, *routed])
     return pages.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -153,31 +231,25 @@ def fan_out(pages: DataFrame, spec: SiteSpec, params: RunParams,
     }
 
 
-def missing_pages(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFrame:
+def missing_pages(pages: DataFrame, spec: SiteSpec, params: RunParams, existing: int = 0) -> DataFrame:
     """Frontier of pages still to be captured for a run, in the frontier schema.
 
     Seeds, next listing pages, detail pages (detailed runs) and list tabs, less
-    what is captured.
+    what is captured. The limit counts the rows that ``run_dataset`` would give, so pages and details
+    past it aren't asked for.
     """
     spark = pages.sparkSession
-    kind = params.dataset or "jobOffers"
-    urls = params.start_urls or (spec.seeds[kind],)
+    kinds = start_datasets(spark, spec, params.start_urls) if params.start_urls else {params.dataset: set()}
+    urls = params.start_urls or (spec.seeds[params.dataset],)
     seeds = spark.createDataFrame([(u,) for u in urls], "u string")
+    listed = F.when(route(F.col("u"), spec) == "jobListing", listing_url_with_filters(F.col("u"), params.filters))
     needed = frontier(
-        seeds, url=listing_url_with_filters(F.col("u"), params.filters),
+        seeds, url=F.coalesce(listed, F.col("u")) if params.start_urls else listing_url_with_filters(F.col("u"), params.filters),
         label=None, page_num=F.lit(1), parent=F.lit(None), reason="seed",
     ).unionByName(redirect_seed(route_pages(pages, spec), spec))
-    if kind == "jobOffers":
-        listing = cut(latest_pages(Li.listing_pages(
-            routed_dom(pages, spec, "jobListing"), spec)), "listing")
-        needed = needed.unionByName(next_pages(listing, params.max_entries))
-        if params.detailed:
-            cards = Li.explode_entries(listing).filter(F.col("offerUrl").isNotNull())
-            needed = needed.unionByName(frontier(
-                cards, url=F.col("offerUrl"), label="jobDetail", page_num=F.lit(None),
-                parent=F.col("listingUrl"), reason="offer detail",
-            ))
-    elif kind != "partners":
+    if "jobOffers" in kinds and kinds["jobOffers"] != {"jobDetail"}:
+        needed = needed.unionByName(_offer_frontier(pages, spec, params, existing))
+    if set(kinds) - {"jobOffers", "partners"}:
         tabs = L.tab_fanout(routed_dom(pages, spec, "jobRelatedList"), spec)
         needed = needed.unionByName(frontier(
             tabs, url=F.col("tab_url"), label="jobRelatedList", page_num=F.lit(None),
@@ -185,3 +257,21 @@ def missing_pages(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFr
         ))
     return frontier_gap(needed, pages)
 
+
+def _offer_frontier(pages: DataFrame, spec: SiteSpec, params: RunParams, existing: int) -> DataFrame:
+    """Next listing pages, and the detail pages of a detailed run's cards, up to the run's limit."""
+    limit, at = params.max_entries, ["listing", "page_num"]
+    listing = cut(filter_cards(listing_of(pages, spec, params), params.filters, params.detailed), "listing")
+    if not params.detailed:
+        return next_pages(listing, limit, existing, per_run=True)
+    cards = Li.explode_entries(listing)
+    if limit is not None:
+        rows = detailed_offers(cards, offer_details(pages, spec, params), params, "listing")
+        counts = rows.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
+        listing = cut(listing.join(counts, at, "left").withColumn("n", F.coalesce("_n", F.lit(0))).drop("_n"), "listing")
+        wanted = run_rows(listing).filter(F.col("before") < max(limit - existing, 0)).select(*at)
+        cards = cards.join(wanted, at, "left_semi")
+    return next_pages(listing, limit, existing, per_run=True).unionByName(frontier(
+        cards.filter(F.col("offerUrl").isNotNull()), url=F.col("offerUrl"), label="jobDetail", page_num=F.lit(None),
+        parent=F.col("listingUrl"), reason="offer detail",
+    ))

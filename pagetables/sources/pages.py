@@ -8,20 +8,15 @@ from pyspark.sql import functions as F
 from pagetables.schemas import PAGES
 
 
-def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Captured pages from files, with missing columns as NULL."""
-    return captured(spread(spark.read.schema(PAGES).format(fmt).load(path)))
+def read_pages(spark: SparkSession, path: str, fmt: str = "parquet",
+               partitions: int | None = None) -> DataFrame:
+    """Captured pages from files, with missing columns as NULL.
 
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Even out a scan with fewer splits than the cluster has cores.
-
-    Parsing costs much more than reading, and a few small files would leave most
-    cores idle. A scan with splits enough stays as it is, without a shuffle. For
-    plain scans only: counting the partitions of a plan with shuffles runs it.
+    Parsing costs much more than reading; ``partitions`` deals out the pages of a few small
+    files anew, by a shuffle. Without it the scan's own splits stay.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    pages = spark.read.schema(PAGES).format(fmt).load(path)
+    return captured(pages.repartition(partitions) if partitions else pages)
 
 
 def captured(df: DataFrame) -> DataFrame:

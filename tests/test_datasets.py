@@ -166,3 +166,79 @@ def test_pages_without_a_scheme_are_kept(spark):
     assert len(run(pages, dataset="jobOffers", max_entries=5)) == 2
     assert len(run(pages, dataset="locations")) == 4
     assert len(run(pages, dataset="partners")) == 2
+
+
+def board(spark, *rows):
+    return captured(spark.createDataFrame([(k, T.SITE + u, h) for k, (u, h) in enumerate(rows)], "page_id long, url string, html string"))
+
+
+def cards(*numbers):
+    return "".join(f'<div class="list-row"><h2><a href="/praca/acme/O{k}">n{k}</a></h2></div>' for k in numbers)
+
+
+def test_detail_pages_of_their_own(spark):
+    pages = board(spark, ("/praca/acme/O1234567", T.DETAIL), ("/praca/acme/O77", T.DETAIL), ("/praca/", T.LISTING))
+    urls = (T.SITE + "/praca/acme/O1234567", T.SITE + "/praca/acme/O77")
+    rows = P.run_dataset(pages, SPEC, RunParams(start_urls=urls)).collect()
+    assert sorted(r.offerUrl for r in rows) == sorted(urls) and all("jobReqOther" in r for r in rows)
+    rows = P.run_dataset(pages, SPEC, RunParams(dataset="jobOffers", detailed=True)).collect()
+    assert sorted(r.offerUrl for r in rows) == sorted(urls)  # one with its card, one alone
+    both = RunParams(start_urls=(T.SITE + "/praca/", urls[0]))
+    assert sorted(r.offerUrl or "" for r in P.run_dataset(pages, SPEC, both).collect()) == ["", urls[0], urls[1]]
+    places = RunParams(start_urls=(T.SITE + "/praca/zoznam-lokalit/",))
+    assert P.run_dataset(board(spark, ("/praca/zoznam-lokalit/", T.LINKS)), SPEC, places).count() == 4
+    with pytest.raises(ValueError, match="several datasets"):
+        P.run_dataset(pages, SPEC, RunParams(start_urls=(T.SITE + "/partneri", urls[0])))
+
+
+def test_filters_of_detailed_runs_see_the_detail_page(spark):
+    pages = board(spark, ("/praca/", cards(1234567)), ("/praca/acme/O1234567", T.DETAIL))
+    for filters in (OfferFilters(query="vš"), OfferFilters(min_salary=2000)):
+        assert P.run_dataset(pages, SPEC, RunParams(dataset="jobOffers", detailed=True, filters=filters)).count() == 1
+    nothing = OfferFilters(query="not there")
+    assert P.run_dataset(pages, SPEC, RunParams(dataset="jobOffers", detailed=True, filters=nothing)).count() == 0
+
+
+def test_one_limit_for_all_listings(spark):
+    pages = board(spark, ("/praca/a/", cards(1, 2, 3)), ("/praca/b/", cards(4, 5, 6)), ("/praca/b/?page_num=2", cards(7)))
+    offers = RunParams(dataset="jobOffers", max_entries=5)
+    assert P.run_dataset(pages, SPEC, offers).count() == 5
+    assert P.run_dataset(pages, SPEC, offers, existing=4).count() == 1
+    asked = {r.url for r in P.missing_pages(pages, SPEC, offers).filter("reason = 'next page'").collect()}
+    assert asked == {T.SITE + "/praca/a/?page_num=2"}
+    # filtered rows don't use the limit up
+    some = RunParams(dataset="jobOffers", max_entries=1, filters=OfferFilters(query="n7"))
+    assert [r.offerName for r in P.run_dataset(pages, SPEC, some).collect()] == ["n7"]
+
+
+def test_unreadable_page_numbers_stay_apart(spark):
+    pages = board(spark, ("/praca/?page_num=1", cards(1)), ("/praca/?page_num=abc", cards(2)))
+    assert P.run_dataset(pages, SPEC, RunParams(dataset="jobOffers")).count() == 2
+
+
+def test_lists_without_a_dataset_are_reported(spark):
+    pages = board(spark, ("/praca/zoznam-inych-veci/", T.LINKS))
+    assert [r.reason for r in P.rejected_pages(pages, SPEC).collect()] == [P.UNKNOWN_LIST]
+
+
+def test_fan_out_leaves_the_pages_as_they_are(spark, tmp_path):
+    pages = board(spark, ("/praca/", cards(1)))
+    P.fan_out(pages, SPEC, RunParams(dataset="jobOffers"))
+    assert P.run_dataset(pages, SPEC, RunParams(dataset="jobOffers")).count() == 1
+
+
+def test_profile_page_with_cards_is_a_listing(spark):
+    pages = board(spark, ("/praca/acme/C12345", '<body class="listing">' + cards(1, 2)))
+    assert P.run_dataset(pages, SPEC, RunParams(dataset="jobOffers")).count() == 2
+
+
+def test_many_unclosed_tags_are_read_at_once():
+    import time
+
+    import pyarrow as pa
+
+    from pagetables.functions.shred import shred_batch
+
+    began = time.time()
+    shred_batch(pa.array(["<p>x</p>" + "<a " * 300_000]))
+    assert time.time() - began < 2

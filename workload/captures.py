@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.sources.pages import spread
-
 HOST = "jobs-example.sk"
 SITE = f"https://www.{HOST}"
 PER_PAGE = 20  # cards on a listing page
@@ -18,18 +16,17 @@ PER_LISTING = 2000  # orders in one listing: 100 pages
 PER_LIST = 50  # links on a list page
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return rows.repartition(partitions) if partitions else rows
 
 
 def gathered(df: DataFrame, *keys: str) -> DataFrame:
     """Bring the rows of a page together before their HTML is written.
 
-    The groupings that follow use this partitioning. A fixed partition count
-    keeps adaptive execution from merging partitions by size: pages compress
-    well, so their bytes say little about the parsing to come.
+    The groupings that follow use this partitioning; adaptive execution sizes it.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.repartition(*keys)
 
 
 def text(*parts: Column | str) -> Column:

@@ -244,6 +244,13 @@ Q["q17b_until_empty"] = f"""
 SELECT {LISTING_KEY} AS listing, count(*) AS n, CAST(max({PAGE}) AS BIGINT) AS last_page
 FROM orders WHERE o_orderpriority <> '1-URGENT' AND {PAGE} < 40 GROUP BY 1"""
 
+Q["q17c_run_limit"] = f"""
+SELECT "offerId", "offerName" FROM (
+  SELECT c."offerId", c."offerName", row_number() OVER (ORDER BY k.listing, k.page_num, k.o_orderkey) AS rn
+  FROM ({CARDS}) c JOIN (
+    SELECT {LISTING_KEY} AS listing, CAST({PAGE} AS BIGINT) AS page_num, o_orderkey, 'O' || (o_orderkey + 1000000) AS id
+    FROM orders) k ON k.id = c."offerId") WHERE rn <= 2500"""
+
 Q["q18_missing_pages"] = f"""
 WITH have AS (SELECT DISTINCT {LISTING} AS l, {PAGE} AS p FROM orders WHERE o_orderstatus <> 'P'),
 shown AS (SELECT DISTINCT h.l, h.p FROM have h JOIN orders ON {LISTING} = h.l AND {PAGE} = h.p
@@ -289,6 +296,10 @@ FROM {JOINED} WHERE o_orderstatus <> 'P'"""
 Q["q20_merge"] = merged(LISTING_URL) + " AND o_orderpriority <> '1-URGENT'"
 Q["q20b_merge_from_detail"] = merged(f"CASE WHEN o_orderpriority <> '1-URGENT' THEN {LISTING_URL} END")
 
+Q["q20c_detail_pages"] = f"""
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS "lastChangeType", CAST(NULL AS VARCHAR) AS "lastChangeRelativeTime")
+FROM ({merged('CAST(NULL AS VARCHAR)')})"""
+
 Q["q21_only_new"] = """
 WITH d AS (SELECT doc_id, lang, md5(text) AS key FROM documents)
 SELECT key, min(doc_id) AS doc_id FROM d n
@@ -338,6 +349,9 @@ SELECT 'locations' AS kind, CAST({LOCATION_ROWS} AS BIGINT) AS rows
 UNION ALL SELECT 'partners', (SELECT count(*) FROM supplier)
 UNION ALL SELECT 'rejected', (SELECT count(*) FROM customer WHERE c_acctbal < 0)"""
 
+Q["q26b_late_captures"] = f"""
+SELECT "offerId", "offerName" FROM ({CARDS})"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

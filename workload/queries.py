@@ -116,7 +116,8 @@ def q06_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _shredded(spark: SparkSession, sf: str) -> DataFrame:
-    return Ro.shred(captured(table(spark, sf, "pages")))
+    # parsing costs much more than reading, and the table is one file
+    return Ro.shred(captured(table(spark, sf, "pages", spark.sparkContext.defaultParallelism)))
 
 
 def q07_page_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -259,6 +260,13 @@ def q17_max_entries(spark: SparkSession, sf: str) -> DataFrame:
     return Li.explode_entries(kept).select("listing", "page_num", "offerId")
 
 
+def q17c_run_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """One limit for all listings, 30 rows of it delivered before."""
+    some = RunParams(dataset="jobOffers", max_entries=2530)
+    rows = P.run_dataset(captured(C.listing_pages(spark, sf)), SPEC, some, existing=30)
+    return rows.select("offerId", "offerName")
+
+
 def q17b_until_empty(spark: SparkSession, sf: str) -> DataFrame:
     kept = Lim.limit_entries(_listing(spark, sf, empty_from=40))
     return Li.explode_entries(kept).groupBy("listing").agg(
@@ -350,6 +358,12 @@ def q20b_merge_from_detail(spark: SparkSession, sf: str) -> DataFrame:
     return _merged_columns(_merge(spark, sf, "detail"))
 
 
+def q20c_detail_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail pages captured on their own, as start URLs."""
+    alone = RunParams(start_urls=(f"{SITE}/praca/acme/O1000000",))
+    return _merged_columns(P.run_dataset(captured(C.order_detail_pages(spark, sf)), SPEC, alone))
+
+
 def q21_only_new(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang", F.md5("text").alias("key"))
     fresh = docs.filter("lang <> 'en'").select("key", "doc_id")
@@ -432,6 +446,19 @@ def q26_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return counts
 
 
+def q26b_late_captures(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings filed with the latest first, and half of them captured again in a second run."""
+    base = workspace(spark, "late")
+    pages = C.listing_pages(spark, sf)
+    day = F.pmod(F.xxhash64("page_id"), F.lit(20)).cast("int")
+    dated = pages.withColumn("fetched_at", F.date_sub(F.lit("2024-05-31").cast("date"), day).cast("timestamp"))
+    again = dated.filter(F.col("page_id") % 2 == 0).withColumn("fetched_at", F.lit("2024-04-01").cast("timestamp"))
+    for part in (dated.filter(day < 10), dated.filter(day >= 10), again):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        S.ingest(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", SPEC, OFFERS, ("jobOffers",))
+    return spark.read.schema("offerId string, offerName string, batch_id int").parquet(f"{base}/out/jobOffers").select("offerId", "offerName")
+
+
 def queries() -> dict[str, Query]:
     found = {name: fn for name, fn in globals().items() if name[0] == "q" and name[1:3].isdigit()}
     return dict(sorted(found.items()))
