@@ -28,8 +28,12 @@ def chunks(text: Column, params: ChunkParams) -> Column:
     return F.regexp_extract_all(text, F.lit(params.pattern), F.lit(0))
 
 
+def _hash(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
 def _recipe(text: Column, params: ChunkParams) -> Column:
-    return F.transform(chunks(text, params), lambda c: F.xxhash64(c))
+    return F.transform(chunks(text, params), _hash)
 
 
 def _clashes(docs: DataFrame, suspects: DataFrame, params: ChunkParams) -> DataFrame:
@@ -38,10 +42,10 @@ def _clashes(docs: DataFrame, suspects: DataFrame, params: ChunkParams) -> DataF
     Only texts whose whole recipe occurs again are read, and each distinct chunk moves once.
     """
     pieces = (
-        docs.withColumn("_whole", F.xxhash64("_text"))
+        docs.withColumn("_whole", _hash(F.col("_text")))
         .join(sized(suspects.select("_whole").distinct()), "_whole", "left_semi")
         .select(F.explode(chunks(F.col("_text"), params)).alias("chunk"))
-        .select(F.xxhash64("chunk").alias("h"), "chunk")
+        .select(_hash(F.col("chunk")).alias("h"), "chunk")
         .distinct()
     )
     # min and max of another hash would be a guess; the chunks themselves are compared
@@ -78,7 +82,7 @@ def _groups(docs: DataFrame, id_column: str, text_column: str, params: ChunkPara
             F.monotonically_increasing_id().alias("_row"),
             "doc_id",
             _recipe(F.col("_text"), params).alias("_recipe"),
-            F.xxhash64("_text").alias("_whole"),
+            _hash(F.col("_text")).alias("_whole"),
             F.unhex(F.sha2(F.encode("_text", "UTF-8"), 256)).alias("_sha"),
         ),
         "recipes",
@@ -121,12 +125,12 @@ def _verified(rows, recipes, clashes, params) -> DataFrame:
         sized(clashes.select("h").distinct()), "h", "left_semi"
     )
     texts = (
-        rows.withColumn("_whole", F.xxhash64("_text"))
+        rows.withColumn("_whole", _hash(F.col("_text")))
         .join(sized(hit.select("_whole").distinct()), "_whole", "left_semi")
         .select("_whole", F.sha2(F.encode("_text", "UTF-8"), 256).alias("_hex"), "_text")
         .distinct()
         .select("_whole", "_hex", F.posexplode(chunks(F.col("_text"), params)).alias("pos", "chunk"))
-        .withColumn("h", F.xxhash64("chunk"))
+        .withColumn("h", _hash(F.col("chunk")))
     )
     variants = (
         texts.join(clashes, ["h", "chunk"])
