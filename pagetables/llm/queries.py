@@ -35,8 +35,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     labels = _table(spark, sf_dir, "labels").where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     held_out = fold("doc_id", 3) == 1
-    train = docs.where(~held_out).select("doc_id", "text").join(sized(labels, rows=1_000_000), "doc_id")
-    model = toxicity.fit(train)
+    drawn, counts = toxicity.draw(labels.where(~held_out))
+    model = toxicity.fit(docs.select("doc_id", "text").join(sized(drawn), "doc_id"), counts=counts)
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     return toxicity.score(rows, ["doc_id", "held_out"], model)
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import sized, stage, text_of
+from .worker import held
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -149,17 +150,11 @@ def _features(texts: list[str], pool, window: int) -> np.ndarray:
     return out
 
 
-_kept: dict[str, object] = {}
-
-
 def _pool_of(key: str, model: tuple, order: int):
-    """The pool of the model last used, kept from task to task."""
+    """The pool of a model that this worker holds from task to task."""
     from .wordpool import WordPool
 
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = WordPool(_gain_of_words(*model, order), keep=400_000)
-    return _kept[key]
+    return held(lambda: WordPool(_gain_of_words(*model, order), keep=250_000), key)
 
 
 def _measure(rows: DataFrame, keep: list[str], model, params: ToxicityParams, finish=None, kind: str = "features array<double>") -> DataFrame:
@@ -187,8 +182,18 @@ def _measure(rows: DataFrame, keep: list[str], model, params: ToxicityParams, fi
     return rows.select(*keep, "text").mapInArrow(measure, f"{kinds}, {kind}")
 
 
-def fit(labelled: DataFrame, params: ToxicityParams = ToxicityParams()) -> ToxicityModel:
-    """Fit on rows (text, toxic 0 or 1), about ``sample`` of each class, drawn by a hash of the text.
+def draw(labels: DataFrame, id_column: str = "doc_id", params: ToxicityParams = ToxicityParams()) -> tuple[DataFrame, dict[int, int]]:
+    """About ``sample`` labels (id, toxic) of each class, drawn by a hash of the id, few enough to be broadcast, and how many each class has."""
+    rows = labels.where(F.col("toxic").isin(0, 1)).select(id_column, F.col("toxic").cast("int").alias("toxic"))
+    counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    share = F.when(F.col("toxic") == 1, params.sample / max(1, counts.get(1, 0))).otherwise(params.sample / max(1, counts.get(0, 0)))
+    drawn = F.pmod(F.xxhash64(F.lit(params.seed), id_column), F.lit(1 << 30)) / float(1 << 30) < share
+    return stage(rows.where(drawn), "toxicity-labels"), counts
+
+
+def fit(labelled: DataFrame, params: ToxicityParams = ToxicityParams(), counts: dict[int, int] | None = None) -> ToxicityModel:
+    """Fit on rows (text, toxic 0 or 1), about ``sample`` of each class, drawn by a hash of the text. ``counts`` are the classes' true sizes
+    if the rows are a sample already.
 
     Three quarters make the models; the rest, which these haven't seen, weigh the length-normalised differences against each
     other by logistic regression. Without both classes every score is the share of toxic rows.
@@ -207,7 +212,7 @@ def fit(labelled: DataFrame, params: ToxicityParams = ToxicityParams()) -> Toxic
     model = fit_models(counted["word"].tolist(), counted["t"].to_numpy(float), counted["o"].to_numpy(float), p)
     measured = _measure(sample.where("tune"), ["toxic"], model, p).toPandas()
     x = np.array(measured["features"].tolist(), float).reshape(-1, 4)
-    counts = {r["_class"]: r["count"] for r in totals.collect()}
+    counts = counts or {r["_class"]: r["count"] for r in totals.collect()}
     weights = _logistic(x, measured["toxic"].to_numpy(float), counts)
     return ToxicityModel(*model, weights, p)
 
