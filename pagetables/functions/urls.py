@@ -36,7 +36,9 @@ def split_url(url: Column) -> Column:
 
 
 def _site(parts: Column) -> Column:
-    return F.concat(parts["scheme"], F.lit("://"), parts["host"])
+    """Scheme and host; the scheme's own port is left out."""
+    site = F.concat(parts["scheme"], F.lit("://"), parts["host"])
+    return F.regexp_replace(site, r"^(?:(http://.*):80|(https://.*):443|(.*):)$", "$1$2$3")
 
 
 def is_url(url: Column) -> Column:

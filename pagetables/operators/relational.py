@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from functools import reduce
 
@@ -176,8 +177,8 @@ def offer_filters(filters: OfferFilters, field: Callable[[str], Column],
     Keywords: any of the comma-separated words in any text field. Salary: the
     best offered value is high enough in the asked period. Age counts back from
     ``as_of`` (default: today). Remote work is no field of the page; it is known
-    from the listing's own URL parameter. Contract and age are only known of
-    ``detailed`` offers.
+    from the listing's own URL parameter, and so is the age of offers that aren't ``detailed``. The contract is
+    only known of ``detailed`` offers.
     """
     tests = [F.lit(True)]
     if filters.query is not None:
@@ -193,6 +194,10 @@ def offer_filters(filters: OfferFilters, field: Callable[[str], Column],
         )
     if filters.employment_type is not None and detailed:
         tests.append(F.array_contains(field("employmentTypes"), filters.employment_type))
+    if filters.last_n_days is not None and not detailed:
+        # a card has no day; the listing's URL says how far back it was asked to go
+        asked = get_query_param(field("listingUrl"), "count_days").try_cast("int")
+        tests.append(F.coalesce(asked <= filters.last_n_days, F.lit(False)))
     if filters.last_n_days is not None and detailed:
         day = F.current_date() if as_of is None else as_of
         tests.append(
@@ -213,6 +218,8 @@ def filter_cards(pages: DataFrame, filters: OfferFilters, detailed: bool = False
     """
     if detailed:
         filters = OfferFilters(remote_type=filters.remote_type)
+    elif filters.employment_type is not None:
+        warnings.warn("employment_type is on detail pages only; a simple run doesn't test it", stacklevel=2)
     if filters == OfferFilters():
         return pages
     kept = F.filter("entries", lambda e: offer_filters(filters, lambda f: e[f], detailed=False))

@@ -242,3 +242,18 @@ def test_many_unclosed_tags_are_read_at_once():
     began = time.time()
     shred_batch(pa.array(["<p>x</p>" + "<a " * 300_000]))
     assert time.time() - began < 2
+
+
+def test_simple_runs_take_the_age_from_the_listing(spark):
+    pages = board(spark, ("/praca/?count_days=7", cards(1)), ("/praca/?count_days=70", cards(2)), ("/praca/", cards(3)))
+    params = RunParams(dataset="jobOffers", filters=OfferFilters(last_n_days=7))
+    assert [r.offerName for r in P.run_dataset(pages, SPEC, params).collect()] == ["n1"]
+    with pytest.warns(UserWarning, match="employment_type"):
+        P.run_dataset(pages, SPEC, RunParams(dataset="jobOffers", filters=OfferFilters(employment_type="fte")))
+
+
+def test_default_ports_are_no_part_of_a_key(spark):
+    from pagetables.functions.urls import url_key
+    rows = [("https://h:443/a", "https://h/a"), ("http://h:80/", "http://h/"), ("http://h:443/", "http://h:443/"), ("https://h:/x", "https://h/x")]
+    df = spark.createDataFrame(rows, "u string, want string")
+    assert df.filter(url_key(F.col("u")) != F.col("want")).count() == 0
