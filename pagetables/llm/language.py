@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sized, stage, text_of
+from .common import keep_rows, sized, small_batches, stage, text_of
+from .worker import held
 
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -35,7 +36,7 @@ class LanguageModel:
     owner: np.ndarray  # language of each centroid
     weights: np.ndarray  # idf times unit centroid, (dims, centroids)
     idf: np.ndarray
-    params: LanguageParams = field(default_factory=LanguageParams)
+    params: LanguageParams
 
 
 def _grams(dims: int):
@@ -69,16 +70,11 @@ def _weighted(counts: np.ndarray) -> np.ndarray:
     return np.log1p(counts)
 
 
-_pools: dict[int, object] = {}
-
-
 def _pool(dims: int):
-    """One pool for a worker, kept from task to task."""
+    """The pool that this worker holds from task to task."""
     from .wordpool import WordPool
 
-    if dims not in _pools:
-        _pools[dims] = WordPool(_grams(dims), keep=300_000)
-    return _pools[dims]
+    return held(lambda: WordPool(_grams(dims), keep=150_000), dims)
 
 
 def _spans(texts, chars: int = 400_000, most: int = 64):
@@ -115,7 +111,8 @@ def fit(train: DataFrame, text_column: str = "text", lang_column: str = "lang",
                     names=["lang", "ids", "counts"],
                 )
 
-    drawn = stage(sample.mapInArrow(vectors, "lang string, ids array<int>, counts array<float>").where("size(ids) > 0"), "language-sample")
+    with small_batches(train.sparkSession):
+        drawn = stage(sample.mapInArrow(vectors, "lang string, ids array<int>, counts array<float>").where("size(ids) > 0"), "language-sample")
     n = drawn.count()
     df = np.zeros(dims)
     for row in drawn.select(F.explode("ids").alias("id")).groupBy("id").count().collect():  # at most dims rows
@@ -183,9 +180,12 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text_column
     return rows.mapInArrow(predict, f"{kinds}, {GUESS}")
 
 
-def known_language(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
-    """The rows that are not rejected, with all their columns; documents' columns pass by the model unread."""
-    names = [f"c{k}" for k in range(len(docs.columns))]
-    text = names[docs.columns.index(text_column)]
-    kept = identify(docs.toDF(*names), model, names, text).where("NOT _rejected").select(*names)
-    return kept.toDF(*docs.columns)
+def known_language(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows that are not rejected, with all their columns.
+
+    The texts pass by Python once to be judged; what comes back are the rejected rows' ids and hashes.
+    """
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text_of(text_column)).alias("whole"), F.col(text_column).alias("text"))
+    with small_batches(docs.sparkSession):
+        gone = stage(identify(rows, model, ["doc_id", "whole"]).where("_rejected").select("doc_id", "whole", F.lit(False).alias("kept")), "rejected")
+    return keep_rows(docs, gone, id_column, text_column)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import parts_for, text_of
 from .eliasfano import EliasFano, dump, load
+from .worker import held
 
 #: The end of a text as a token, and as the context of its first word: the hash of the empty word, which no text has.
 END = 17241709254077376921  # XXH64 of no bytes with seed 0
@@ -420,7 +421,6 @@ def _scores(trie: Trie, texts) -> tuple[np.ndarray, ...]:
 
 
 SCORES = "n_tokens long, n_known long, base_score double, score double"
-_tries: dict[str, Trie] = {}
 
 
 def score(docs: DataFrame, keep: list[str], model: LmModel, text_column: str = "text") -> DataFrame:
@@ -435,11 +435,7 @@ def score(docs: DataFrame, keep: list[str], model: LmModel, text_column: str = "
     def run(stream):
         from .tokens import batches
 
-        model_ = shared.value
-        if model_.path not in _tries:
-            _tries.clear()
-            _tries[model_.path] = Trie(model_)
-        trie = _tries[model_.path]
+        trie = held(lambda: Trie(shared.value), shared.value.path)
         for batch in stream:
             texts = batch.column(batch.num_columns - 1)
             for a, b in batches(texts):

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches, stage, text_of
+from .worker import release
 
 
 @dataclass(frozen=True)
@@ -263,6 +264,7 @@ def _place_large(plan: np.ndarray, before: dict[int, int], capacity: int):
         firsts[length] = rank
 
     def place(stream):
+        release()
         for batch in stream:
             length, rank = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("length", "_rank"))
             sequence = rank.copy()  # full pieces

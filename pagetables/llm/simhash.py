@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_rows, sized, stage, text_of
+from .common import keep_rows, sized, small_batches, stage, text_of
 from .components import components
+from .worker import release
 
 BITS, RADIUS = 64, 3
 #: Each level's map from the 64 bits to nonzero vectors of RADIUS + 1 bits. Rotated against each other,
@@ -50,6 +51,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     def sketch(stream):
         import xxhash
 
+        release()
         digest = xxhash.xxh64_intdigest
         for batch in stream:
             prints = np.zeros(batch.num_rows, np.uint64)
@@ -162,7 +164,8 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     node. A null text counts as empty; texts without words have fingerprint 0 and are linked
     like any other. Null ids are never the smallest unless there is no other. No rows give no rows. Other columns are ignored.
     """
-    prints = stage(fingerprints(docs, id_column, text_column, params), "fingerprints")
+    with small_batches(docs.sparkSession):
+        prints = stage(fingerprints(docs, id_column, text_column, params), "fingerprints")
     classes = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")), "classes")
     roots = components(links(classes, params))
     linked = (
