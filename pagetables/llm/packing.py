@@ -17,8 +17,8 @@ from .worker import release
 @dataclass(frozen=True)
 class PackParams:
     capacity: int = 1024
-    groups: int = 128  # of large lengths, with equally many pieces each
-    small: int = 128  # shorter pieces only fill gaps
+    groups: int = 512  # of large lengths, with equally many pieces each
+    small: int = 256  # shorter pieces only fill gaps; at most three others share a sequence
     part_rows: int = 1 << 20  # rows of a part in which ranks are counted
 
 
