@@ -28,7 +28,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 2_000):
+def small_batches(spark: SparkSession, rows: int = 600):
     """Long rows go to Python in smaller batches than the session's, for the actions within."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
