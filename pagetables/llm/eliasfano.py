@@ -16,12 +16,12 @@ _ONE, _ZERO = (
 class EliasFano:
     """A rising sequence: the low bits of each value packed, the high bits as unary gaps.
 
-    ``ones`` counts the bits set before each byte of the high part, so that the i-th value and
-    the first value of a bucket are found by one binary search.
+    ``ones`` and ``zeros`` count the bits set and not set before each byte of the high part, so that the i-th value and
+    the first value of a bucket are found by one binary search. All lies in the file; nothing is derived in memory.
     """
 
-    def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
-        self.n, self.width, self.low, self.high, self.ones = n, width, low, high, ones
+    def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
+        self.n, self.width, self.low, self.high, self.ones, self.zeros = n, width, low, high, ones, zeros
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
@@ -35,15 +35,16 @@ class EliasFano:
         bits[places] = 1
         high = np.packbits(bits, bitorder="little")
         counts = np.cumsum(np.bitwise_count(high), dtype=np.int64)
-        return cls(n, width, low, high, np.concatenate(([0], counts[:-1])).astype(np.uint32 if n < 1 << 32 else np.int64))
+        ones, kind = np.concatenate(([0], counts[:-1])), np.uint32 if n < 1 << 28 else np.int64
+        return cls(n, width, low, high, ones.astype(kind), (np.arange(len(ones)) * 8 - ones).astype(kind))
 
     def arrays(self, name: str) -> dict[str, np.ndarray]:
-        return {f"{name}.shape": np.array([self.n, self.width], np.int64), f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ones": self.ones}
+        return {f"{name}.shape": np.array([self.n, self.width], np.int64), f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ones": self.ones, f"{name}.zeros": self.zeros}
 
     @classmethod
     def from_arrays(cls, arrays: dict[str, np.ndarray], name: str) -> EliasFano:
         n, width = arrays[f"{name}.shape"].tolist()
-        return cls(n, width, arrays[f"{name}.low"], arrays[f"{name}.high"], arrays[f"{name}.ones"])
+        return cls(n, width, *(arrays[f"{name}.{part}"] for part in ("low", "high", "ones", "zeros")))
 
     def at(self, i: np.ndarray) -> np.ndarray:
         """The values at places ``i``."""
@@ -53,11 +54,10 @@ class EliasFano:
 
     def _bucket(self, h: np.ndarray) -> np.ndarray:
         """How many values have high bits below ``h``: the ones before the h-th zero, for h from 1 on."""
-        zeros = np.arange(len(self.ones), dtype=np.int64) * 8 - self.ones if not hasattr(self, "_zeros") else self._zeros
-        self._zeros = zeros
         want = np.maximum(h - 1, 0)
-        byte = np.minimum(np.searchsorted(zeros, want, side="right") - 1, len(zeros) - 1)
-        inner = want - zeros[byte]
+        most = np.iinfo(self.zeros.dtype).max  # beyond all that are there
+        byte = np.searchsorted(self.zeros, np.minimum(want, most).astype(self.zeros.dtype), side="right") - 1
+        inner = want - self.zeros[byte].astype(np.int64)
         beyond = inner > 7
         place = byte * 8 + _ZERO[self.high[byte], np.minimum(inner, 7)]
         found = np.minimum(place - want, self.n)

@@ -10,7 +10,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import parts_for, text_of
 from .eliasfano import EliasFano, dump, load
