@@ -26,8 +26,16 @@ class LanguageParams:
     dims: int = 8192  # buckets of character trigrams
     rounds: int = 12
     sharpness: float = 30.0  # of the score
-    reject: float = 0.05  # cosine below which a text is nobody's
+    reject: float = 0.05  # cosine below which a text is nobody's, however short
     seed: int = 42
+    folds: int = 5  # of the sample, each judged by centroids fitted on the others, to set the limits
+    quantile: float = 0.005  # of the cosines of such documents
+    margin: float = 0.8  # of that quantile: a language's limit
+    enough: int = 20  # documents of a language for limits of its own, else ``reject``
+
+
+#: Trigrams in a text for which limits are set; between them they follow the logarithm.
+SIZES = tuple(4 << k for k in range(11))
 
 
 @dataclass
@@ -36,6 +44,7 @@ class LanguageModel:
     owner: np.ndarray  # language of each centroid
     weights: np.ndarray  # idf times unit centroid, (dims, centroids)
     idf: np.ndarray
+    limits: np.ndarray  # cosine that a text of a language must reach, (languages, SIZES)
     params: LanguageParams
 
 
@@ -85,11 +94,57 @@ def _spans(texts, chars: int = 400_000, most: int = 64):
             yield c, min(b, c + most)
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
+
+def _centres(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
+    """At most ``k`` centroids of unit vectors, by cosine."""
+    order = np.argsort(x @ x.mean(axis=0), kind="stable")
+    k = min(k, len(x))
+    centres = x[order[np.linspace(0, len(x) - 1, k).astype(int)]]
+    for _ in range(rounds):
+        near = (x @ centres.T).argmax(axis=1)
+        centres = np.stack([x[near == c].mean(axis=0) if (near == c).any() else centres[c] for c in range(k)])
+        centres = _unit(centres)
+    return centres
+
+
+def _limits(counts: np.ndarray, x: np.ndarray, own_idf: np.ndarray, p: LanguageParams) -> np.ndarray:
+    """The limit of one language for each of ``SIZES``: a low quantile, with a margin, of the cosines of documents that the
+    centroids were not fitted on. Longer documents also stand for shorter ones, by a random part of their trigrams.
+
+    ``own_idf``: weights as if the document had not been counted.
+    """
+    if len(x) < p.enough:
+        return np.full(len(SIZES), p.reject)
+    rng = np.random.default_rng(p.seed)
+    fold = np.arange(len(x)) % p.folds
+    found: list[list[float]] = [[] for _ in SIZES]
+    for f in range(p.folds):
+        centres = _centres(x[fold != f], p.centroids, p.rounds)
+        for row in counts[fold == f]:
+            at = np.flatnonzero(row)
+            every = np.repeat(at, row[at].astype(int))
+            rng.shuffle(every)
+            for k, size in enumerate(SIZES):
+                ids, n = np.unique(every[:size], return_counts=True)
+                v = _weighted(n.astype(np.float32)) * own_idf[ids]
+                found[k].append(float((centres[:, ids] @ v).max() / np.linalg.norm(v)))
+                if size >= len(every):
+                    break
+    limits = [np.quantile(c, p.quantile) * p.margin if len(c) >= p.enough else np.nan for c in found]
+    for k in range(1, len(limits)):  # too few texts of that length: the limit of shorter ones
+        limits[k] = limits[k - 1] if np.isnan(limits[k]) else limits[k]
+    return np.maximum(limits, p.reject)
+
+
 def fit(train: DataFrame, text_column: str = "text", lang_column: str = "lang", params: LanguageParams = LanguageParams()) -> LanguageModel:
     """Fit on about ``sample`` documents per language, drawn by a hash of the text.
 
     Trigram counts are damped by logarithm, weighted by inverse document frequency and normalised; each language's vectors are clustered
-    by cosine in a task of its own, whose size the sample bounds. The driver gets document frequencies and centroids.
+    by cosine in a task of its own, whose size the sample bounds, which also sets the language's limits. The driver gets
+    document frequencies, centroids and limits.
     """
     p, dims = params, params.dims
     rows = train.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()).select(
@@ -97,48 +152,51 @@ def fit(train: DataFrame, text_column: str = "text", lang_column: str = "lang",
     )
     totals = stage(rows.groupBy("lang").count(), "languages")
     draw = F.pmod(F.xxhash64(F.lit(p.seed), "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(sized(totals), "lang").where(draw < F.lit(float(p.sample)) / F.col("count")).select("lang", "text")
+    sample = rows.join(sized(totals), "lang").where(draw < F.lit(float(p.sample)) / F.col("count")).select(
+        "lang", F.xxhash64("text").alias("hash"), "text"
+    )
 
     def vectors(stream):
         pool = _pool(dims)
         for batch in stream:
-            for a, b in _spans(batch.column(1)):
-                counts = _counts(batch.column(1).slice(a, b - a).to_pylist(), pool, dims)
+            for a, b in _spans(batch.column(2)):
+                counts = _counts(batch.column(2).slice(a, b - a).to_pylist(), pool, dims)
                 at = [np.flatnonzero(row) for row in counts]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([x.astype(np.int32) for x in at], pa.list_(pa.int32())),
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([x.astype(np.int32) for x in at], pa.list_(pa.int32())),
                      pa.array([row[x] for row, x in zip(counts, at)], pa.list_(pa.float32()))],
-                    names=["lang", "ids", "counts"],
+                    names=["lang", "hash", "ids", "counts"],
                 )
 
     with small_batches(train.sparkSession):
-        drawn = stage(sample.mapInArrow(vectors, "lang string, ids array<int>, counts array<float>").where("size(ids) > 0"), "language-sample")
+        drawn = stage(sample.mapInArrow(vectors, "lang string, hash long, ids array<int>, counts array<float>").where("size(ids) > 0"), "language-sample")
     n = drawn.count()
     df = np.zeros(dims)
     for row in drawn.select(F.explode("ids").alias("id")).groupBy("id").count().collect():  # at most dims rows
         df[row[0]] = row[1]
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
 
+    own_idf = (np.log(max(n, 1) / np.maximum(df, 1)) + 1).astype(np.float32)
+
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
-        x = np.zeros((len(frame), dims), np.float32)
+        frame = frame.sort_values("hash", kind="stable")
+        raw = np.zeros((len(frame), dims), np.float32)
         for k, (ids, counts) in enumerate(zip(frame["ids"], frame["counts"])):
-            x[k, ids] = counts
-        x = _weighted(x) * idf
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        order = np.argsort(x @ x.mean(axis=0), kind="stable")
-        k = min(p.centroids, len(x))
-        centres = x[order[np.linspace(0, len(x) - 1, k).astype(int)]]
-        for _ in range(p.rounds):
-            near = (x @ centres.T).argmax(axis=1)
-            centres = np.stack([x[near == c].mean(axis=0) if (near == c).any() else centres[c] for c in range(k)])
-            centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
-        return pd.DataFrame({"lang": frame["lang"].iloc[:1].repeat(k).to_numpy(), "centroid": list(range(k)), "vector": list(centres)})
-
-    found = drawn.groupBy("lang").applyInPandas(cluster, "lang string, centroid int, vector array<float>").orderBy("lang", "centroid").collect()
+            raw[k, ids] = counts
+        x = _unit(_weighted(raw) * idf)
+        centres = _centres(x, p.centroids, p.rounds)
+        limits = _limits(raw, x, own_idf, p)
+        k = len(centres)
+        return pd.DataFrame({
+            "lang": frame["lang"].iloc[:1].repeat(k).to_numpy(), "centroid": list(range(k)), "vector": list(centres), "limits": [limits] * k,
+        })
+
+    found = drawn.groupBy("lang").applyInPandas(cluster, "lang string, centroid int, vector array<float>, limits array<double>").orderBy("lang", "centroid").collect()
     languages = sorted({r.lang for r in found})
     owner = np.array([languages.index(r.lang) for r in found], np.int64)
     centres = np.array([r.vector for r in found], np.float32).reshape(-1, dims)
-    return LanguageModel(languages, owner, np.ascontiguousarray((centres * idf).T), idf, p)
+    limits = np.array([next(r.limits for r in found if r.lang == name) for name in languages]).reshape(-1, len(SIZES))
+    return LanguageModel(languages, owner, np.ascontiguousarray((centres * idf).T), idf, limits, p)
 
 
 GUESS = "_lang string, _score double, _cosine double, _rejected boolean"
@@ -148,10 +206,11 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text_column
     """The columns ``keep`` of every row with _lang, _score, _cosine and _rejected.
 
     _lang is the language of the centroid with the largest cosine; ``und`` if the text is null or has no letter, or if
-    nothing was learned. _score is its share against the other languages, 0 for ``und``. _rejected: ``und``, or farther from all
-    centroids than ``reject`` allows. No rows give no rows.
+    nothing was learned. _score is its share against the other languages, 0 for ``und``. _rejected: ``und``, or farther from
+    its centroids than the limit of the language allows for as many trigrams. No rows give no rows.
     """
-    languages, owner, weights, idf, p = model.languages, model.owner, model.weights, model.idf, model.params
+    languages, owner, weights, idf, limits, p = model.languages, model.owner, model.weights, model.idf, model.limits, model.params
+    sizes = np.log2(SIZES)
 
     def predict(stream):
         pool = _pool(p.dims)
@@ -161,17 +220,22 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text_column
                 some = [t or "" for t in texts.slice(a, b - a).to_pylist()]
                 known = np.array([bool(languages) and bool(_ANY.search(t)) for t in some], bool)
                 lang, score, cos = [UNKNOWN] * len(some), np.zeros(len(some)), np.zeros(len(some))
+                limit = np.zeros(len(some))
                 if known.any():
-                    x = _weighted(_counts(some, pool, p.dims))
+                    counts = _counts(some, pool, p.dims)
+                    size = np.log2(np.maximum(counts.sum(axis=1), 1))
+                    x = _weighted(counts)
                     cosine = (x @ weights) / np.maximum(np.sqrt((x * x) @ (idf * idf)), 1e-9)[:, None]
                     best = np.stack([cosine[:, owner == k].max(axis=1) for k in range(len(languages))], axis=1).astype(float)
                     top = best.argmax(axis=1)
                     cos = np.where(known, best[np.arange(len(some)), top], 0.0)
                     score = np.where(known, 1 / np.exp(p.sharpness * (best - best.max(axis=1, keepdims=True))).sum(axis=1), 0.0)
+                    for k, own in enumerate(limits):
+                        limit = np.where(top == k, np.interp(size, sizes, own), limit)
                     lang = [languages[k] if ok else UNKNOWN for k, ok in zip(top, known)]
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(k).slice(a, b - a) for k in range(batch.num_columns - 1)],
-                     pa.array(lang, pa.string()), pa.array(score), pa.array(cos), pa.array(~known | (cos < p.reject))],
+                     pa.array(lang, pa.string()), pa.array(score), pa.array(cos), pa.array(~known | (cos < limit))],
                     names=[*batch.schema.names[:-1], "_lang", "_score", "_cosine", "_rejected"],
                 )
 

@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from pagetables.llm import language, queries
@@ -39,3 +40,27 @@ def test_windows_and_pool_forget_without_changing_results():
         flat, lengths = pool.gather(numbers)
         want, want_lengths = windows(words, 2, 1)
         assert flat.tolist() == want.tolist() and lengths.tolist() == want_lengths.tolist()
+
+
+def test_rejects_a_left_out_language_and_random_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
+    train = docs.where("doc_id % 5 <> 0")
+    rng = np.random.default_rng(1)
+    alphabets = {"latin": range(97, 123), "cyrillic": range(0x430, 0x450), "cjk": range(0x4E00, 0x5E00)}
+    noise = [
+        (k, " ".join("".join(chr(c) for c in rng.choice(list(letters), rng.integers(2, 9))) for _ in range(words)), f"{name} {words}")
+        for name, letters in alphabets.items() for words in (20, 100, 1000) for k in range(10)
+    ]
+    model = language.fit(train)
+
+    def shares(rows, model):
+        got = language.identify(rows, model, ["lang"]).groupBy("lang").agg(F.avg(F.col("_rejected").cast("double")).alias("part"))
+        return {r.lang: r.part for r in got.collect()}
+
+    clean = shares(docs.where("doc_id % 5 = 0"), model)
+    assert max(clean.values()) <= 0.03, clean
+    random = shares(spark.createDataFrame(noise, "doc_id long, text string, lang string"), model)
+    assert min(random.values()) == 1.0, random
+    for out in ("es", "en"):
+        foreign = shares(docs.where(F.col("lang") == out), language.fit(train.where(F.col("lang") != out)))
+        assert foreign[out] >= 0.9, foreign
