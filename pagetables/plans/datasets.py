@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagetables.functions.urls import set_query_params
+from pagetables.functions.urls import set_query_params, url_key
 from pagetables.operators import detail as D
 from pagetables.operators import lists as L
 from pagetables.operators import listing as Li
@@ -94,6 +94,13 @@ def detailed_offers(cards: DataFrame, detail: DataFrame, params: RunParams, how:
     })
 
 
+def lone_offers(cards: DataFrame, detail: DataFrame, params: RunParams) -> DataFrame:
+    """The detail pages that none of the cards leads to, as far as they pass the filters."""
+    led = cards.filter(F.col("offerUrl").isNotNull()).select(url_key(F.col("offerUrl")).alias("_offer")).distinct()
+    alone = detail.withColumn("_offer", url_key(F.col("page.url"))).join(led, "_offer", "left_anti").drop("_offer")
+    return detailed_offers(cards.limit(0), alone, params)
+
+
 def offers(pages: DataFrame, spec: SiteSpec, params: RunParams, lone_details: bool = False) -> DataFrame:
     """Job offers: cards of the listing pages, with their detail pages if asked for.
 

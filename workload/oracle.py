@@ -352,6 +352,8 @@ UNION ALL SELECT 'rejected', (SELECT count(*) FROM customer WHERE c_acctbal < 0)
 Q["q26b_late_captures"] = f"""
 SELECT "offerId", "offerName" FROM ({CARDS})"""
 
+Q["q26c_detailed_ingest"] = Q["q20b_merge_from_detail"]
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

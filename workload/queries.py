@@ -459,6 +459,18 @@ def q26b_late_captures(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("offerId string, offerName string, batch_id int").parquet(f"{base}/out/jobOffers").select("offerId", "offerName")
 
 
+def q26c_detailed_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail pages that come before, with and after their listings, and some without any."""
+    base = workspace(spark, "detailed")
+    details = C.order_detail_pages(spark, sf)
+    early = F.pmod(F.xxhash64("page_id"), F.lit(2)) == 0
+    params = RunParams(dataset="jobOffers", detailed=True)
+    for part in (details.filter(early), C.listing_pages(spark, sf), details.filter(~early)):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        S.ingest(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", SPEC, params, ("jobOffers",))
+    return _merged_columns(S.delivered_rows(spark, f"{base}/out", "jobOffers"))
+
+
 def queries() -> dict[str, Query]:
     found = {name: fn for name, fn in globals().items() if name[0] == "q" and name[1:3].isdigit()}
     return dict(sorted(found.items()))
