@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagetables.sources.workspace import workspace
 
 from .common import fold, sized
-from . import exact_dedup, language, lm, mixing, neighbours, packing, simhash, token_store, toxicity, warc
+from . import exact_dedup, jaccard, language, lm, mixing, neighbours, packing, simhash, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,5 +91,10 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts, packing.PackParams(capacity=1024))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op2_toxicity, op3_lm_score, op4_neighbours, op5_exact_dedup, op6_language, op7_simhash, op8_mix_sources, op9_warc, op10_pack)}
+    found = [(name, f) for name, f in globals().items() if name.startswith("op") and name[2].isdigit()]
+    return dict(sorted(found, key=lambda item: int(item[0][2:].split("_")[0])))
