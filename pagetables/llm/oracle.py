@@ -68,5 +68,51 @@ FROM h
 """
 
 
+OP12 = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS units,
+  ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM t),
+c AS (SELECT *, len(units)::BIGINT AS n, h1 % (len(units) + 1) AS x, h2 % (len(units) + 1) AS y FROM u),
+p AS (SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+  array_to_string(units[1:least(x, y)], '') AS pre, array_to_string(units[least(x, y) + 1:greatest(x, y)], '') AS mid,
+  array_to_string(units[greatest(x, y) + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+#: crc32 from the bits of the id's digits; nodes are named by the turns that lead to them.
+OP13 = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)
+  ), 4294967295::BIGINT) % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+g AS (SELECT c.*, least(h, (SELECT count(*) FROM t WHERE t.conv_id = c.base)) AS got FROM c),
+r AS (SELECT g.conv_id, p, role, text FROM g JOIN t ON t.conv_id = g.base AND p <= g.h
+  UNION ALL SELECT g.conv_id, p - h + got, role, text FROM g JOIN t ON t.conv_id = g.conv_id AND p > h),
+n AS (SELECT conv_id, count(*) OVER (PARTITION BY conv_id) AS turns, p AS depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+    md5(array_to_string(list(sha256(length(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY p), ',')) AS k FROM r),
+m AS (SELECT conv_id, turns, depth, words, k FROM n
+  UNION ALL SELECT conv_id, coalesce((SELECT max(turns) FROM n WHERE n.conv_id = g.conv_id), 0), 0, 0, 'root' FROM g),
+up AS (SELECT a.*, b.k AS above FROM m a LEFT JOIN m b ON b.conv_id = a.conv_id AND b.depth = a.depth - 1),
+d AS (SELECT depth, k, max(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (turns = depth), '')) AS ends_sha256 FROM up GROUP BY depth, k),
+f AS (SELECT d.*, (SELECT count(*) FROM d e WHERE e.above = d.k AND e.depth = d.depth + 1) AS n_children FROM d),
+w AS (SELECT m.depth, m.k, sum((f.n_children = 0)::INT) AS n_leaves, sum((f.n_convs - 1) * f.words) AS saved
+  FROM f JOIN m ON m.conv_id = f.conv_id AND m.depth <= f.depth GROUP BY m.depth, m.k)
+SELECT f.conv_id, f.depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, w.n_leaves::BIGINT AS n_leaves,
+  w.saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN w ON w.depth = f.depth AND w.k = f.k LEFT JOIN f q ON q.k = f.above AND q.depth = f.depth - 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5, "op8_mix_sources": OP8, "op9_warc": OP9}
+    return {"op13_conversation_trie": OP13, "op5_exact_dedup": OP5, "op8_mix_sources": OP8, "op9_warc": OP9, "op12_fill_in_middle": OP12}

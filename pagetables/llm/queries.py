@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagetables.sources.workspace import workspace
 
 from .common import fold, sized
-from . import exact_dedup, jaccard, language, lm, mixing, neighbours, packing, simhash, token_store, toxicity, warc
+from . import conversations, exact_dedup, fim, jaccard, language, lm, mixing, neighbours, packing, simhash, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +95,17 @@ def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(_table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_digests(_table(spark, sf_dir, "documents"), workspace(spark, "fim"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, lengths = conversations.shared_heads(conversations.turn_rows(_table(spark, sf_dir, "conversations")), every=20, ways=4)
+    return conversations.trie(turns, lengths).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [(name, f) for name, f in globals().items() if name.startswith("op") and name[2].isdigit()]
     return dict(sorted(found, key=lambda item: int(item[0][2:].split("_")[0])))
