@@ -25,6 +25,7 @@ class JoinParams:
     shingle: int = 4  # words
     near: int = 85  # sets are linked if 100 * intersection >= near * union
     seed: int = 11
+    counted: int = 2  # prefixes in which shingles are counted are so many times as long, as common ones make way to those behind
     common: int = 8  # shingles in more prefixes than this come last in the order, which changes no result
     most_common: int = 1 << 20  # as many of them as are sent to the tasks; the most frequent
     unit_rows: int = 256  # most classes of a unit
@@ -67,13 +68,15 @@ def folded(sketch: bytes, size: int) -> np.ndarray:
     return bits
 
 
-def shingle_sets(docs: DataFrame, id_column: str, text_column: str, params: JoinParams, common: np.ndarray) -> DataFrame:
+def shingle_sets(docs: DataFrame, id_column: str, text_column: str, params: JoinParams, common: np.ndarray | None = None) -> DataFrame:
     """One row per document: size, two numbers that name the set, its least shingle, the prefix, its part of ``common`` shingles and the sketch.
 
-    The order of shingles puts those of ``common`` (sorted) last, each part by number.
+    The order of shingles puts those of ``common`` (sorted) last, each part by number. Without it, the prefixes are those for counting.
     """
     def prefix(own: np.ndarray) -> tuple[np.ndarray, int]:
         want = params.prefix(len(own))
+        if common is None:
+            return own[:params.counted * want], 0
         if not len(common) or not len(own):
             return own[:want], 0
         upto = min(len(own), want + 8)
@@ -140,6 +143,7 @@ def units_of(classes: DataFrame, params: JoinParams) -> DataFrame:
     crowds = classes.groupBy("first").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles")).where("rows > 1").select(
         "first", F.greatest(F.ceil(F.col("rows") / params.unit_rows), F.ceil(F.col("shingles") / params.unit_shingles)).alias("parts")
     )
+    crowds = sized(stage(crowds, "crowded-shingles"))
     met = classes.select("class", "first", "n", "sketch").join(crowds, "first").withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")))
     groups = met.groupBy("first", "part").agg(F.collect_list(F.struct("class", "n", "sketch")).alias("own"))
 
@@ -460,7 +464,7 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """
     spark = docs.sparkSession
     with small_batches(spark):
-        common = common_shingles(shingle_sets(docs, id_column, text_column, params, np.zeros(0, np.uint64)), params)
+        common = common_shingles(shingle_sets(docs, id_column, text_column, params), params)
         sets = stage(shingle_sets(docs, id_column, text_column, params, common), "shingle-sets")
     classes = classes_of(sets)
     units = sized(units_of(classes, params))
