@@ -45,6 +45,57 @@ def span(items: Column, first: Column, last: Column) -> Column:
     )
 
 
+def rank(items: Column, place: Column) -> Column:
+    """How many items of an array that rises by ``id`` have an id of at most ``place``, by binary search."""
+    def steps(bits: int) -> Column:
+        return F.array(*[F.lit(1 << k) for k in reversed(range(bits))])
+
+    # an array has fewer than 2^31 items; most have few
+    chosen = F.when(F.size(items) < 64, steps(6)).otherwise(steps(30))
+    return let(place, lambda at: F.aggregate(
+        chosen, F.lit(0),
+        lambda found, step: F.when(
+            (found + step <= F.size(items)) & (F.get(items, found + step - 1)["id"] <= at), found + step
+        ).otherwise(found),
+    ))
+
+
+#: Items that a fold appends to one array: appending copies, so long arrays are folded in pieces.
+_PIECE = 512
+
+
+def outermost(spans: Column) -> Column:
+    """Of nested or disjoint spans (id, last) that rise by id those that lie in no other.
+
+    One sweep that keeps the end of the last span taken.
+    """
+    def sweep(items: Column, until: Column) -> Column:
+        start = F.struct(until.alias("until"), F.array().cast("array<struct<id:int,last:int>>").alias("kept"))
+        return F.aggregate(items, start, lambda s, x: F.when(
+            x["id"] > s["until"], F.struct(x["last"].alias("until"), F.concat(s["kept"], F.array(x)).alias("kept"))
+        ).otherwise(s))
+
+    def pieces(items: Column) -> Column:
+        start = F.struct(F.lit(-1).alias("until"), F.array().cast("array<array<struct<id:int,last:int>>>").alias("kept"))
+        swept = F.aggregate(
+            F.sequence(F.lit(0), F.size(items) - 1, F.lit(_PIECE)), start,
+            lambda s, first: let(
+                sweep(span(items, first, F.least(first + _PIECE, F.size(items)) - 1), s["until"]),
+                lambda f: F.struct(f["until"].alias("until"), F.concat(s["kept"], F.array(f["kept"])).alias("kept")),
+            ),
+        )
+        return F.flatten(swept["kept"])
+
+    return let(spans, lambda items: F.when(F.size(items) < 2, items).when(
+        F.size(items) <= _PIECE, sweep(items, F.lit(-1))["kept"]
+    ).otherwise(pieces(items)))
+
+
+def within_spans(place: Column, spans: Column) -> Column:
+    """Does a position lie in one of the disjoint spans, behind its begin?"""
+    return let(rank(spans, place - 1), lambda k: (k > 0) & (F.get(spans, k - 1)["last"] >= place))
+
+
 def drop_empty(texts: Column) -> Column:
     """Remove NULL and empty strings from an array of texts; NULL becomes empty."""
     return F.coalesce(

@@ -1,20 +1,22 @@
 """CSS selection over the columnar DOM, as Spark column expressions.
 
 A selector becomes a predicate per element, evaluated with ``filter`` over the
-page's array in the JVM. Ancestor tests follow the element's own ``path``, so
-they cost the depth of the page and not its length. Selection never shuffles.
+page's array in the JVM. Ancestors are found by position: an element is below another
+if its place lies in the other's span. What the part of a selector before a blank matches
+is reduced to its outermost spans, in one sweep, and each candidate looks itself up
+among them; so the work grows with the page and not with its depth. Selection never shuffles.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagetables.functions.arrays import drop_empty, let, span
+from pagetables.functions.arrays import drop_empty, let, outermost, span, within_spans
 from pagetables.functions.text import trim_to_null
 
 _PART = re.compile(
@@ -59,17 +61,37 @@ def matches(node: Column, compound: str) -> Column:
     return _all([t for _, t in sorted(tests, key=lambda t: t[0])])
 
 
+@cache
+def steps(selector: str) -> tuple[tuple[str, ...], ...]:
+    """A selector cut at its blanks; each step is a chain of compounds joined by ``>``."""
+    found: list[list[str]] = []
+    pos = 0
+    while pos < len(selector.rstrip()):
+        m = _PART.match(selector, pos)
+        if m is None or (m["child"] and not found):
+            raise ValueError(f"unsupported selector: {selector!r}")
+        if m["child"]:
+            found[-1].append(m["compound"])
+        else:
+            found.append([m["compound"]])
+        pos = m.end()
+    return tuple(map(tuple, found))
+
+
 class Dom:
     """Selectors over one array column of elements. Elements are struct columns.
 
     With ``box``, an element column, selectors find its descendants only. That
     tests positions in place, which suits a box around most of the page;
-    ``within`` reads a small subtree out first.
+    ``within`` reads a small subtree out first. As on the page, an ancestor that a selector
+    names may lie outside of the box.
     """
 
-    def __init__(self, nodes: Column | str, box: Column | None = None) -> None:
+    def __init__(self, nodes: Column | str, box: Column | None = None,
+                 scopes: dict[tuple, Column] | None = None) -> None:
         self.nodes = F.col(nodes) if isinstance(nodes, str) else nodes
         self.box = box
+        self.scopes = scopes or {}
 
     def root(self) -> Column:
         return F.get(self.nodes, F.lit(0))
@@ -78,19 +100,46 @@ class Dom:
         """All descendants of an element, in document order."""
         return let(node, lambda n: span(self.nodes, n["id"] + 1, n["last"]))
 
-    def _test(self, node: Column, parts: list[tuple[str, str]]) -> Column:
-        (combinator, compound), rest = parts[-1], parts[:-1]
-        test = matches(node, compound)
-        if not rest:
-            return test
-        if combinator == ">":
-            return test & let(
-                F.get(self.nodes, node["parent"]), lambda p: self._test(p, rest)
-            ) & (node["parent"] >= 0)
-        return test & F.exists(
-            node["path"],
-            lambda i: let(F.get(self.nodes, i), lambda a: self._test(a, rest)),
-        )
+    def scoped(self, selectors: list[str], body: Callable[[Dom], Column]) -> Column:
+        """``body`` with a Dom that knows the spans in which the last steps of ``selectors`` can match.
+
+        They are found once per page, for selectors that ``body`` applies to many elements of it.
+        """
+        wanted = dict.fromkeys(s[:-1] for s in map(steps, selectors) if len(s) > 1)
+        if not wanted:
+            return body(self)
+        names = {key: f"s{k}" for k, key in enumerate(wanted)}
+        found = F.struct(*[self._spans(key).alias(name) for key, name in names.items()])
+        return let(found, lambda f: body(
+            Dom(self.nodes, self.box, self.scopes | {key: f[name] for key, name in names.items()})
+        ))
+
+    def _spans(self, parts: tuple) -> Column:
+        """Outermost spans of the elements of the page that match."""
+        def spans(test: Callable[[Column], Column]) -> Column:
+            # the synthetic root is no element of the page
+            found = F.filter(self.nodes, lambda n: test(n) & (n["id"] > 0))
+            return outermost(F.transform(found, lambda n: F.struct(n["id"].alias("id"), n["last"].alias("last"))))
+
+        return self._matching(parts, spans)
+
+    def _matching(self, parts: tuple, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
+        """``body`` with the test of one element against all steps."""
+        if len(parts) == 1:
+            return body(lambda n: self._chain(n, parts[-1]))
+        if parts[:-1] in self.scopes:
+            spans = self.scopes[parts[:-1]]
+            return body(lambda n: self._chain(n, parts[-1], spans))
+        return let(self._spans(parts[:-1]), lambda spans: body(lambda n: self._chain(n, parts[-1], spans)))
+
+    def _chain(self, node: Column, compounds: tuple[str, ...], spans: Column | None = None) -> Column:
+        """Does an element match the last compound, its parent the one before and so on, and does the first lie in ``spans``?"""
+        test, rest = matches(node, compounds[-1]), compounds[:-1]
+        if rest:
+            return test & (node["parent"] >= 0) & let(
+                F.get(self.nodes, node["parent"]), lambda p: self._chain(p, rest, spans)
+            )
+        return test if spans is None else test & within_spans(node["id"], spans)
 
     def find_all(self, selector: str, within: Column | None = None,
                  among: Column | None = None) -> Column:
@@ -98,23 +147,15 @@ class Dom:
 
         ``among`` is the array ``inside(within)`` when the caller has it at hand.
         """
-        parts, pos = [], 0
-        while pos < len(selector.rstrip()):
-            m = _PART.match(selector, pos)
-            if m is None:
-                raise ValueError(f"unsupported selector: {selector!r}")
-            parts.append((m["child"] or " ", m["compound"]))
-            pos = m.end()
+        parts = steps(selector)
         if among is None and within is None and self.box is not None:
             first, last = self.box["id"], self.box["last"]
-            return F.filter(
-                self.nodes,
-                lambda n: self._test(n, parts) & (n["id"] > first) & (n["id"] <= last),
-            )
+            return self._matching(parts, lambda test: F.filter(
+                self.nodes, lambda n: test(n) & (n["id"] > first) & (n["id"] <= last)
+            ))
         if among is None:
             among = self.nodes if within is None else self.inside(within)
-        # the synthetic root is no element of the page
-        return F.filter(among, lambda n: self._test(n, parts) & (n["id"] > 0))
+        return self._matching(parts, lambda test: F.filter(among, lambda n: test(n) & (n["id"] > 0)))
 
     def find(self, selector: str, within: Column | None = None,
              among: Column | None = None) -> Column:

@@ -78,7 +78,6 @@ _ENDS = {
 _P = frozenset(["p"])
 _P_STOP = _SCOPE | {"button"}
 _ONCE = frozenset(["html", "head", "body"])
-_DEEPEST = 512  # as in browsers: elements nested deeper become siblings, so paths stay short
 _STAYS = frozenset(["html", "body"])  # open until the page ends, whatever the end tags say
 
 
@@ -91,13 +90,12 @@ class _Columns:
 
     def __init__(self) -> None:
         self.id, self.last, self.parent, self.nth = (array("i") for _ in range(4))
-        self.path, self.path_at = array("i"), array("i", [0])
         self.attr_at, self.page_at = array("i", [0]), array("i", [0])
         self.tag, self.el_id, self.classes, self.text, self.tail = [], [], [], [], []
         self.keys, self.values = [], []
 
     def add_page(self, html: str) -> None:
-        tags, texts, tails, path = self.tag, self.text, self.tail, self.path
+        tags, texts, tails = self.tag, self.text, self.tail
         keys, values, last = self.keys, self.values, self.last
         match, attributes = _TOKEN.match, _ATTR.findall
         base = len(tags)
@@ -105,14 +103,19 @@ class _Columns:
         ids = array("i")
         kids: list[int] = []
         once: set[str] = set()
+        opened: dict[str, int] = {}  # how many of each name are open: most searches end here, however deep the page
 
         def close(depth: int) -> None:
             end = len(tags) - base - 1
             for node in ids[depth:]:
                 last[base + node] = end
+            for closed in names[depth:]:
+                opened[closed] -= 1
             del names[depth:], ids[depth:], kids[depth:]
 
         def find_open(targets, stop) -> int:
+            if not any(map(opened.get, targets)):
+                return 0
             for depth in range(len(names) - 1, 0, -1):
                 if names[depth] in targets:
                     return depth
@@ -123,7 +126,7 @@ class _Columns:
         pos, size = 0, len(html)
         last_end = html.rfind(">")  # no tag ends after it
         name, attrs = "#root", ""
-        leaf, too_deep = False, 0
+        leaf = False
         # where the next text goes: `text` of an open element or `tail` of a closed one
         at, into = base, texts
         while True:
@@ -134,8 +137,6 @@ class _Columns:
                 tags.append(name)
                 texts.append("")
                 tails.append("")
-                path.extend(ids)
-                self.path_at.append(len(path))
                 if ids:
                     kids[-1] += 1
                     self.parent.append(ids[-1])
@@ -145,11 +146,12 @@ class _Columns:
                     self.nth.append(1)
                 el_id, classes = None, ""
                 if attrs:
-                    begin = len(keys)
+                    own = set()
                     for key, quoted, single, bare in attributes(attrs):
                         key = key.lower()
-                        if key in keys[begin:]:
+                        if key in own:
                             continue
+                        own.add(key)
                         value = quoted or single or bare
                         if "&" in value:
                             value = unescape(value)
@@ -174,10 +176,9 @@ class _Columns:
                     gt = html.find(">", stop_at)
                     pos = gt + 1 if gt >= 0 else size
                     into = tails
-                elif len(names) >= _DEEPEST:
-                    into, too_deep = tails, too_deep + 1
                 else:
                     names.append(name)
+                    opened[name] = opened.get(name, 0) + 1
                     ids.append(node)
                     kids.append(0)
                     into = texts
@@ -220,9 +221,6 @@ class _Columns:
                 name, attrs = started, found
             elif ended:
                 ended = ended.lower()
-                if too_deep:
-                    too_deep -= 1
-                    continue
                 if names[-1] == ended and len(names) > 1 and ended not in _STAYS:
                     depth = len(names) - 1
                 elif ended in _STAYS:
@@ -266,7 +264,6 @@ class _Columns:
                 ),
                 pa.array(self.text, txt),
                 pa.array(self.tail, txt),
-                pa.ListArray.from_arrays(ints(self.path_at), ints(self.path)),
             ],
             names=[f.name for f in NODES.elementType.fields],
         )

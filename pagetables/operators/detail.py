@@ -49,6 +49,11 @@ def detail_sections(dom: Dom, entry: Column, spec: SiteSpec) -> Column:
     subtitle is taken out. Side notes are left out of the contents.
     """
     css = spec.detail
+    return dom.scoped([css["section_title"], css["aside"]], lambda d: _sections_of(d, entry, spec))
+
+
+def _sections_of(dom: Dom, entry: Column, spec: SiteSpec) -> Column:
+    css = spec.detail
 
     def section_pairs(selector: str) -> Column:
         section = Dom(dom.nodes, box=entry).find(selector)

@@ -22,6 +22,12 @@ def listing_entries(dom: Dom, page_url: Column, base: Column, spec: SiteSpec,
     ``base`` is the page's ``split_url``, against which links are resolved.
     """
     css = spec.listing
+    of_a_card = [css[k] for k in ("link", "footer", "salary", "change_time", "employer", "logo_link", "logo", "location", "label")]
+    return dom.scoped(of_a_card, lambda d: _entries_of(d, page_url, base, spec, keep_base_query))
+
+
+def _entries_of(dom: Dom, page_url: Column, base: Column, spec: SiteSpec, keep_base_query: bool) -> Column:
+    css = spec.listing
 
     def link(node: Column, attr: str) -> Column:
         return resolve_against(base, dom.attr(node, attr), keep_base_query)

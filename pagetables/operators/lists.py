@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.arrays import built_once, fill_headings, let
-from pagetables.functions.dom import Dom, matches
+from pagetables.functions.arrays import built_once, fill_headings, let, rank
+from pagetables.functions.dom import Dom
 from pagetables.functions.text import str_as_number
 from pagetables.functions.urls import get_query_param, resolve_against, set_query_param, split_url, url_key
 from pagetables.operators.relational import capture_order, latest
@@ -64,6 +64,11 @@ def related_links(dom: Dom, base: Column, spec: SiteSpec,
     is taken out of its name, and out of the page for the links after it.
     """
     css = spec.links
+    return dom.scoped([css["heading"], css["count"]], lambda d: _links_of(d, base, spec, keep_base_query))
+
+
+def _links_of(dom: Dom, base: Column, spec: SiteSpec, keep_base_query: bool) -> Column:
+    css = spec.links
 
     def real_link(n: Column) -> Column:
         href = dom.attr(n, "href")
@@ -81,17 +86,36 @@ def related_links(dom: Dom, base: Column, spec: SiteSpec,
         return dom.text(m["node"], without=F.array(m["taken"]))
 
     def rows(links: Column) -> Column:
+        """A plain link's count is the first counter under its parent that no heading above it has taken.
+
+        Counters are found once per page, those that headings take apart from the others, and looked up by position.
+        """
         taken = F.filter(F.transform(links, lambda m: m["taken"]), lambda t: t.isNotNull())
 
-        def count_node(m: Column, gone: Column) -> Column:
-            beside = F.filter(
-                dom.inside(dom.parent(m["node"])),
-                lambda s: matches(s, css["count"])
-                & ~F.exists(gone, lambda t: (t["id"] == s["id"]) & (t["id"] < m["node"]["id"])),
+        def first(counters: Column, after: Column, parent: Column) -> Column:
+            """The first counter behind a position, if it is under the parent."""
+            return let(
+                F.get(counters, rank(counters, after)), lambda c: F.when(c["id"] <= parent["last"], c)
             )
-            return F.when(m["is_heading"], m["taken"]).otherwise(F.get(beside, F.lit(0)))
 
-        return let(taken, lambda gone: fill_headings(
+        def count_node(m: Column, c: Column) -> Column:
+            def beside(p: Column) -> Column:
+                free = first(c["free"], p["id"], p)
+                # a heading's own counter is still there for the links above the heading
+                later = first(c["taken"], F.greatest(p["id"], m["node"]["id"] - 1), p)
+                return let(F.struct(free.alias("a"), later.alias("b")), lambda x: F.when(
+                    x["a"].isNull() | (x["b"]["id"] < x["a"]["id"]), x["b"]
+                ).otherwise(x["a"]))
+
+            return F.when(m["is_heading"], m["taken"]).otherwise(let(dom.parent(m["node"]), beside))
+
+        def counters(gone: Column) -> Column:
+            free = F.filter(dom.find_all(css["count"]), lambda s: let(
+                rank(gone, s["id"]), lambda k: (k == 0) | (F.get(gone, k - 1)["id"] < s["id"])
+            ))
+            return F.struct(free.alias("free"), gone.alias("taken"))
+
+        return let(let(taken, counters), lambda gone: fill_headings(
             links,
             is_heading=lambda m: m["is_heading"],
             heading=name_of,
@@ -162,6 +186,12 @@ def partner_entries(dom: Dom, base: Column, spec: SiteSpec,
                     keep_base_query: bool = False) -> Column:
     """Partner rows of one page; the i-th card belongs to the i-th tab name."""
     css = spec.partners
+    of_a_row = [css[k] for k in ("row", "info", "link", "logo")]
+    return dom.scoped(of_a_row, lambda d: _partners_of(d, base, spec, keep_base_query))
+
+
+def _partners_of(dom: Dom, base: Column, spec: SiteSpec, keep_base_query: bool) -> Column:
+    css = spec.partners
 
     def entry(row: Column, category: Column) -> Column:
         return let(dom.find(css["info"], row), lambda info: let(

@@ -32,8 +32,7 @@ PAGES = _struct(
 #: ``text`` is the text before the first child, ``tail`` the text between the
 #: element's end and the next tag. ``classes`` is the class attribute with one
 #: blank around each name (" a b "), so a class test is a plain text search.
-#: ``path`` holds the ids of the ancestors. Node 0 is a synthetic root around the
-#: page.
+#: Node 0 is a synthetic root around the page.
 NODE = _struct(
     ("id", _I),
     ("last", _I),
@@ -45,7 +44,6 @@ NODE = _struct(
     ("attrs", T.MapType(_S, _S, False)),
     ("text", _S),
     ("tail", _S),
-    ("path", T.ArrayType(_I, False)),
 )
 NODES = T.ArrayType(NODE, False)
 
