@@ -159,22 +159,23 @@ def in_order(rows: DataFrame) -> DataFrame:
 
 
 def run_dataset(pages: DataFrame, spec: SiteSpec, params: RunParams,
-                prior: DataFrame | None = None, existing: int = 0) -> DataFrame:
+                prior: DataFrame | None = None, existing: int = 0, lone_details: bool = False) -> DataFrame:
     """One dataset with everything the run options ask for.
 
     ``pages`` is the output of ``read_pages``; ``prior`` is earlier output of the
     same dataset, whose entries are left out; ``existing`` counts rows already
     delivered towards ``max_entries``, which is one limit for the whole run.
     Start URLs choose the dataset by their route; a run from detail pages alone gives detailed rows.
+    ``lone_details`` gives simple runs the detail pages too that no card leads to; detailed runs have them.
     With a limit or a merge with lone detail pages, jobs that stage rows run right away.
     """
-    kind, lone = params.dataset or "jobOffers", False
+    kind, lone = params.dataset or "jobOffers", lone_details
     if params.start_urls:
         started = start_datasets(pages.sparkSession, spec, params.start_urls)
         if len(started) > 1:
             raise ValueError(f"start URLs of several datasets: {sorted(started)}; run each on its own")
         kind, routes = next(iter(started.items()))
-        lone = "jobDetail" in routes
+        lone = lone or "jobDetail" in routes
         if routes == {"jobDetail"}:
             params = replace(params, detailed=True)
     if kind == "jobOffers":
@@ -229,11 +230,15 @@ def stage_by_route(pages: DataFrame, spec: SiteSpec, path: str | None = None) ->
 
 def fan_out(pages: DataFrame, spec: SiteSpec, params: RunParams,
             stage: bool = True) -> dict[str, DataFrame]:
-    """All datasets of one crawl, by kind, from one pass over the captured pages."""
-    if stage:
+    """All datasets of one crawl, by kind, from one pass over the captured pages.
+
+    Every page of a route feeds its dataset: detail pages that no card leads to are offers, also of a simple run. Pages of
+    an archive (``read_loads``) are laid out by route already; others are staged so, unless ``stage`` is off.
+    """
+    if stage and "route" not in pages.columns:
         pages = stage_by_route(pages, spec)
     return {
-        kind: run_dataset(pages, spec, replace(params, dataset=kind, start_urls=None))
+        kind: run_dataset(pages, spec, replace(params, dataset=kind, start_urls=None), lone_details=True)
         for kind in DATASET_KINDS
     }
 

@@ -315,6 +315,22 @@ def company_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def company_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company pages that list the customer's orders, at most 20 keys apart; customers with a negative balance use a custom design."""
+    design = F.when(F.col("c_acctbal") < 0, " custom-design").otherwise("")
+    orders = joined_orders(spark, sf_dir).withColumn("page_num", block("o_orderkey", PER_PAGE))
+    pages = gathered(orders, "o_custkey", "page_num").groupBy("o_custkey", "page_num", design.alias("design")).agg(
+        F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("o_orderkey", card_html().alias("card")))), lambda c: c["card"]
+        ), "").alias("cards")
+    )
+    return pages.select(
+        (F.col("o_custkey") * 10000000 + F.col("page_num")).alias("page_id"),
+        text(SITE, "/praca/c/C", F.col("o_custkey") + 100, "?page_num=", F.col("page_num")).alias("url"),
+        text('<html><body class="listing', F.col("design"), '">', F.col("cards"), "</body>").alias("html"),
+    )
+
+
 def counter_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First and last listing page of each customer, with a result counter.
 

@@ -102,13 +102,27 @@ LOCATION_ROWS = """(SELECT count(*) FROM orders)
 
 Q["q05_fan_out"] = f"""
 WITH c(kind, rows) AS (
-  SELECT 'jobOffers', (SELECT count(*) FROM orders WHERE o_orderpriority <> '1-URGENT')
+  SELECT 'jobOffers', (SELECT count(*) FROM orders WHERE o_orderpriority <> '1-URGENT' OR o_orderstatus <> 'P')
   UNION ALL SELECT 'companies', (SELECT count(*) FROM customer)
   UNION ALL SELECT 'locations', {LOCATION_ROWS}
   UNION ALL SELECT 'partners', (SELECT count(*) FROM supplier)
   UNION ALL SELECT 'industries', 0 UNION ALL SELECT 'professions', 0 UNION ALL SELECT 'languages', 0)
 SELECT kind, CAST(rows AS BIGINT) AS rows, CAST(rows AS BIGINT) AS with_metadata FROM c"""
 
+Q["q05b_archive"] = """
+WITH c(kind, offers, run, rows, left_out) AS (
+  SELECT 'listings', count(*) FILTER (o_orderpriority <> '1-URGENT'), 1,
+    (SELECT count(*) FROM (SELECT DISTINCT o_orderkey // 2000, (o_orderkey // 20) % 100 FROM orders)), 0 FROM orders
+  UNION ALL SELECT 'details', count(*) FILTER (o_orderstatus <> 'P'), 2, count(*) FILTER (o_orderstatus <> 'P'), (SELECT count(*) FROM pages) FROM orders
+  UNION ALL SELECT 'both', count(*) FILTER (o_orderpriority <> '1-URGENT' OR o_orderstatus <> 'P'), NULL, NULL, NULL FROM orders)
+SELECT kind, CAST(offers AS BIGINT) AS offers, CAST(run AS BIGINT) AS run, CAST(rows AS BIGINT) AS rows, CAST(left_out AS BIGINT) AS left_out FROM c"""
+
+Q["q06b_company_listings"] = f"""
+SELECT '{SITE}/praca/c/C' || (o_custkey + 100) || '?page_num=' || (o_orderkey // 20) AS listingUrl, 'O' || (o_orderkey + 1000000) AS offerId,
+  {OFFER_URL} AS offerUrl, c_name AS employerName, CASE o_orderstatus WHEN 'F' THEN 'added' ELSE 'modified' END AS lastChangeType,
+  CASE WHEN o_orderstatus IN ('F', 'O') THEN {LOW} END AS salaryRangeLower
+FROM {JOINED} WHERE o_orderpriority <> '1-URGENT' AND c_acctbal >= 0"""
+
 Q["q06_quarantine"] = f"""
 SELECT '{SITE}/praca/c/C' || (c_custkey + 100) AS url, 'companyDetailCustom' AS route,
   'custom-design company page' AS reason FROM customer WHERE c_acctbal < 0"""

@@ -20,6 +20,7 @@ from pagetables.operators import routing as Ro
 from pagetables.params import OfferFilters, RunParams
 from pagetables.plans import datasets as P
 from pagetables.schemas import OFFER_DETAILED
+from pagetables.sources import arrivals as A
 from pagetables.sources.pages import captured
 from pagetables.sources.sinks import read_dataset, write_dataset
 from pagetables.sources.workspace import cut, workspace
@@ -105,16 +106,38 @@ def q04_sinks(spark: SparkSession, sf: str) -> DataFrame:
 def q05_fan_out(spark: SparkSession, sf: str) -> DataFrame:
     pages = site_pages(
         spark, C.listing_pages(spark, sf), C.location_pages(spark, sf), C.company_pages(spark, sf),
-        C.partner_pages(spark, sf), C.company_profiles(spark, sf),
+        C.partner_pages(spark, sf), C.company_profiles(spark, sf), C.order_detail_pages(spark, sf),
     )
     known = F.col("metadata.originalUrl").isNotNull() & F.col("metadata.contextId").isNotNull()
     return R.dataset_counts(P.fan_out(pages, SPEC, OFFERS), with_metadata=known)
 
 
+def q05b_archive(spark: SparkSession, sf: str) -> DataFrame:
+    """Two crawls in an archive, the second repeated; offers are counted per load, and by the whole archive."""
+    root, pages = workspace(spark, "archive"), captured(C.listing_pages(spark, sf))
+    details = captured(C.order_detail_pages(spark, sf).unionByName(table(spark, sf, "pages").select("page_id", "url", "html")))
+    A.append_load(pages, [SPEC], root, "listings")
+    for _ in range(2):
+        A.append_load(details, [SPEC], root, "details")
+    counts = {
+        name: P.fan_out(A.read_loads(spark, SPEC, root, loads), SPEC, OFFERS)["jobOffers"]
+        for name, loads in (("listings", ("listings",)), ("details", ("details",)), ("both", None))
+    }
+    loads = A.loads_of(spark, root).select(F.col("load").alias("kind"), "run", "rows", "left_out")
+    offers = R.dataset_counts(counts).withColumnsRenamed({"rows": "offers"})
+    return offers.join(loads, "kind", "left")
+
+
 def q06_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return P.rejected_pages(captured(C.company_profiles(spark, sf)), SPEC)
 
 
+def q06b_company_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """Company pages with cards: only the content tells a listing from an unsupported design."""
+    rows = P.run_dataset(captured(C.company_listings(spark, sf)), SPEC, OFFERS)
+    return rows.select("listingUrl", "offerId", "offerUrl", "employerName", "lastChangeType", "salaryRangeLower")
+
+
 def _shredded(spark: SparkSession, sf: str) -> DataFrame:
     # parsing costs much more than reading, and the table is one file
     return Ro.shred(captured(table(spark, sf, "pages", spark.sparkContext.defaultParallelism)))
