@@ -105,6 +105,11 @@ def _page_num() -> Column:
     return F.coalesce(given, page_number(F.col("effective_url")), F.lit(1))
 
 
+def page_key() -> Column:
+    """A listing and its page number, known from the URL and the request alone."""
+    return F.struct(_listing().alias("listing"), _page_num().alias("page_num"))
+
+
 def listing_pages(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = False) -> DataFrame:
     """One compact row per listing page: key, number, result count and entries.
 

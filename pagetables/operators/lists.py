@@ -142,21 +142,21 @@ def _partners(spec: SiteSpec, keep_base_query: bool) -> Column:
     return partner_entries(Dom("nodes"), F.col("_base"), spec, keep_base_query)
 
 
-def list_pages(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = False) -> DataFrame:
-    """One compact row per captured list page: its tab and its links. No shuffle.
+def list_key() -> Column:
+    """Names a captured list page and its tab; a URL without a tab is the first tab."""
+    url = F.col("effective_url")
+    return url_key(F.coalesce(set_query_param(url, "tab_index", tab_index(url)), url))
 
-    ``capture`` names the page: a URL without a tab is the first tab.
-    """
+
+def list_pages(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = False) -> DataFrame:
+    """One compact row per captured list page: its tab, its links and its key, ``capture``. No shuffle."""
     url = F.col("effective_url")
     return (
         shredded.filter(F.col("route") == "jobRelatedList")
         .withColumn("_base", split_url(url))
         .withColumn("entries", _links(spec, keep_base_query))
         .withColumn("tab_index", tab_index(url))
-        .withColumn(
-            "capture",
-            url_key(F.coalesce(set_query_param(url, "tab_index", F.col("tab_index")), url)),
-        )
+        .withColumn("capture", list_key())
         .drop("nodes", "_base")
     )
 

@@ -51,14 +51,44 @@ def capture_order() -> tuple[Column, Column]:
     return F.col("page.fetched_at"), F.col("page.page_id")
 
 
+def latest_captures(pages: DataFrame, key: Column) -> DataFrame:
+    """Captured pages without those that a later capture of the same page replaces, before anything is parsed.
+
+    Which captures stay is decided on keys, times and ids alone; only keys captured more than once are looked up again, so
+    that the pages themselves stay where they are as long as these are few. Of captures that agree in time and id
+    one stays, by its content. Pages without a key are dropped, as nothing can refer to them.
+    """
+    order = F.struct(*[c.alias(f"o{k}") for k, c in enumerate(capture_order())])
+    keyed = pages.withColumns({"_key": key, "_order": order}).filter(F.col("_key").isNotNull())
+    times = keyed.groupBy("_key", "_order").agg(F.count(F.lit(1)).alias("_n"))
+    tops = (
+        times.groupBy("_key").agg(F.max(F.struct("_order", "_n")).alias("_top"), F.sum("_n").alias("_all"))
+        .filter("_all > 1").select("_key", F.col("_top._order").alias("_top"), (F.col("_top._n") > 1).alias("_tied"))
+    )
+    columns = pages.columns
+    marked = keyed.join(tops, "_key", "left")
+    single = marked.filter(F.col("_top").isNull() | (F.col("_order").eqNullSafe(F.col("_top")) & ~F.col("_tied"))).select(*columns)
+    same = keyed.join(tops.filter("_tied"), "_key").filter(F.col("_order").eqNullSafe(F.col("_top")))
+    one = same.groupBy("_key").agg(F.max_by(F.struct(*columns), F.xxhash64("html")).alias("_row")).select(
+        *[F.col("_row")[c].alias(c) for c in columns]
+    )
+    return single.unionByName(one)
+
+
 def latest_pages(pages: DataFrame) -> DataFrame:
     """One row per listing and page number, the latest capture."""
     keyed = pages.withColumn("_at", F.struct("listing", "page_num"))
     return latest(keyed, "_at", *capture_order()).drop("_at")
 
 
+def detail_key(url: Column) -> Column:
+    """What a card's offer URL and its detail page's URL share."""
+    return url_key(url)
+
+
 def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "listing",
-                         carry: tuple[str, ...] = ()) -> DataFrame:
+                         carry: tuple[str, ...] = (), keys: DataFrame | None = None,
+                         unique: bool = False) -> DataFrame:
     """Overlay listing rows with their detail pages.
 
     The detail page wins even where it has nothing; only ``FROM_LISTING`` comes
@@ -68,23 +98,22 @@ def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "list
     detail page and card, or per page alone when no card leads to it.
     Columns of the cards named in ``carry`` come along.
 
-    Detail pages captured more than once count once, so cards cannot multiply.
-    The cards are cut down to a key and a few columns before they shuffle. Both
-    sides of the join come straight from a shuffle of their own, which is what
-    adaptive execution needs to split the cards of a very popular offer over
-    many tasks; only inner joins can be split on that side, so offers without a
-    card are added by an anti join on the distinct keys.
+    Detail pages captured more than once count once, so cards cannot multiply; ``unique`` says that they are
+    no more than one per key already. The cards are cut down to a key and a few columns before they shuffle.
+    For detail pages without a card, a stand-in without fields joins the cards; these are found on keys alone (``keys``, a
+    column ``_offer``; without it the parsed pages are staged). So there is one inner join, whose card side
+    adaptive execution can split over many tasks if one offer is on very many cards.
     """
     if how not in ("listing", "detail", "both"):
         raise ValueError(f"how must be 'listing', 'detail' or 'both', got {how!r}")
     by_listing = how != "detail"
-    pages = latest(
-        detail.withColumn("_offer", url_key(F.col("page.url"))), "_offer", *capture_order()
-    )
+    pages = detail.withColumn("_offer", detail_key(F.col("page.url"))).filter(F.col("_offer").isNotNull())
+    if not unique:
+        pages = latest(pages, "_offer", *capture_order())
     carried = [F.col("page").alias("_page"), F.col("offerUrl").alias("_url")]
     cards = (
         listing.filter(F.col("offerUrl").isNotNull())
-        .withColumn("_offer", url_key(F.col("offerUrl")))
+        .withColumn("_offer", detail_key(F.col("offerUrl")))
         .select(
             "_offer",
             *[F.col(c).alias("_" + c) for c in FROM_LISTING],
@@ -93,13 +122,13 @@ def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "list
         )
     )
     if how != "listing":
-        pages, cards = cut(pages, "details"), cut(cards, "cards")
+        cards = cut(cards, "cards")
+        if keys is None:
+            pages = cut(pages, "details")
+            keys = pages.select("_offer")
+        alone = keys.filter(F.col("_offer").isNotNull()).distinct().join(cards.select("_offer").distinct(), "_offer", "left_anti")
+        cards = cards.unionByName(alone, allowMissingColumns=True)
     merged = pages.drop(*FROM_LISTING).join(cards, "_offer")
-    if how != "listing":
-        alone = pages.join(cards.select("_offer").distinct(), "_offer", "left_anti")
-        merged = merged.unionByName(
-            alone.drop(*FROM_LISTING), allowMissingColumns=True
-        )
     values = {c: F.col("_" + c) for c in FROM_LISTING}
     page = F.col("page")
     if by_listing:

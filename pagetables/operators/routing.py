@@ -121,6 +121,11 @@ def shred(pages: DataFrame) -> DataFrame:
     return pages.withColumn("nodes", shred_html(F.col("html"))).drop("html")
 
 
+def routed(pages: DataFrame, spec: SiteSpec, *routes: str) -> DataFrame:
+    """Pages of some routes by their URLs, not parsed yet."""
+    return route_pages(pages, spec).filter(F.col("route").isin(*routes))
+
+
 def routed_dom(pages: DataFrame, spec: SiteSpec, *routes: str) -> DataFrame:
     """Route by URL, keep the wanted routes, then parse, then settle page rules.
 

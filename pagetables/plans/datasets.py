@@ -15,11 +15,10 @@ from pagetables.operators import listing as Li
 from pagetables.operators.govern import redact, user_hooks, with_metadata
 from pagetables.operators.limits import frontier, limit_entries, limit_rows, next_pages, run_rows
 from pagetables.operators.relational import (
-    capture_order, entry_key, filter_cards, frontier_gap, latest, latest_pages,
-    merge_listing_detail, offer_filters, only_new,
+    detail_key, entry_key, filter_cards, frontier_gap, latest_captures, merge_listing_detail, offer_filters, only_new,
 )
 from pagetables.operators.routing import (
-    list_kind, needs_page_test, quarantine, redirect_seed, route, route_pages, routed_dom,
+    list_kind, needs_page_test, quarantine, redirect_seed, route, route_pages, routed, routed_dom,
 )
 from pagetables.params import OfferFilters, RunParams
 from pagetables.schemas import dataset_schema
@@ -61,10 +60,9 @@ ORDER = ("listing", "page_num", "pos")
 
 
 def listing_of(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFrame:
-    """Listing pages, one row per listing and page number."""
-    return latest_pages(
-        Li.listing_pages(routed_dom(pages, spec, "jobListing"), spec, params.keep_base_query)
-    )
+    """Listing pages, one row per listing and page number, the latest capture."""
+    shown = latest_captures(routed(pages, spec, "jobListing"), Li.page_key())
+    return Li.listing_pages(routed_dom(shown, spec, "jobListing"), spec, params.keep_base_query)
 
 
 def offer_cards(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFrame:
@@ -76,16 +74,28 @@ def offer_cards(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFram
 
 
 def offer_details(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFrame:
-    return D.job_details(routed_dom(pages, spec, "jobDetail"), spec, params.keep_base_query)
+    """Detail pages, one row per page, the latest capture."""
+    shown = latest_captures(routed(pages, spec, "jobDetail"), detail_key(F.col("page.url")))
+    return D.job_details(routed_dom(shown, spec, "jobDetail"), spec, params.keep_base_query)
+
 
+def detail_keys(pages: DataFrame, spec: SiteSpec) -> DataFrame:
+    """Keys of the captured detail pages, from their URLs alone."""
+    return routed(pages, spec, "jobDetail").select(detail_key(F.col("page.url")).alias("_offer"))
 
-def detailed_offers(cards: DataFrame, detail: DataFrame, params: RunParams, how: str = "both") -> DataFrame:
+
+def detailed_offers(cards: DataFrame, detail: DataFrame, params: RunParams, how: str = "both",
+                    keys: DataFrame | None = None, unique: bool = False) -> DataFrame:
     """Cards with their detail pages, and detail pages without a card, that pass the filters.
 
-    The filters see the merged row, as the detail page overwrites what a card says. Pages without a card come after the
-    listings, in parts of the run's order.
+    The filters see the merged row, as the detail page overwrites what a card says.
     """
-    merged = merge_listing_detail(cards, detail, how, ORDER).filter(offer_filters(params.filters, F.col))
+    merged = merge_listing_detail(cards, detail, how, ORDER, keys, unique)
+    return _in_run(merged.filter(offer_filters(params.filters, F.col)))
+
+
+def _in_run(merged: DataFrame) -> DataFrame:
+    """Offers without a card come after the listings, in parts of the run's order."""
     place = F.xxhash64("offerUrl")
     return merged.withColumns({
         "page_num": F.when(F.col("listing").isNull(), F.pmod(place, F.lit(1 << 16))).otherwise(F.col("page_num")),
@@ -94,30 +104,39 @@ def detailed_offers(cards: DataFrame, detail: DataFrame, params: RunParams, how:
     })
 
 
-def lone_offers(cards: DataFrame, detail: DataFrame, params: RunParams) -> DataFrame:
-    """The detail pages that none of the cards leads to, as far as they pass the filters."""
-    led = cards.filter(F.col("offerUrl").isNotNull()).select(url_key(F.col("offerUrl")).alias("_offer")).distinct()
-    alone = detail.withColumn("_offer", url_key(F.col("page.url"))).join(led, "_offer", "left_anti").drop("_offer")
-    return detailed_offers(cards.limit(0), alone, params)
+def lone_offers(detail: DataFrame, params: RunParams) -> DataFrame:
+    """Detail pages that no card leads to, as offers of their own, as far as they pass the filters."""
+    alone = detail.select(
+        "page", *[f.name for f in dataset_schema("jobOffers", True) if f.name != "metadata"],
+        F.lit(None).cast("string").alias("listing"), F.lit(None).cast("bigint").alias("page_num"), F.lit(None).cast("int").alias("pos"),
+    )
+    return _in_run(alone.filter(offer_filters(params.filters, F.col)))
+
+
+def without_card(rows: DataFrame, url: Column, cards: DataFrame) -> DataFrame:
+    """Rows whose detail page none of the cards leads to."""
+    led = cards.filter(F.col("offerUrl").isNotNull()).select(detail_key(F.col("offerUrl")).alias("_offer")).distinct()
+    return rows.withColumn("_offer", detail_key(url)).join(led, "_offer", "left_anti").drop("_offer")
 
 
 def offers(pages: DataFrame, spec: SiteSpec, params: RunParams, lone_details: bool = False) -> DataFrame:
     """Job offers: cards of the listing pages, with their detail pages if asked for.
 
     A detailed run also has the captured detail pages that no card leads to; with ``lone_details`` a simple run has
-    them too, as far as a card's fields go.
+    them too, as far as a card's fields go, and parses no others.
     """
     if params.count_only:
         return Li.result_totals(listing_of(pages, spec, params))
     cards = offer_cards(pages, spec, params)
     if params.detailed:
-        return detailed_offers(cards, offer_details(pages, spec, params), params)
+        return detailed_offers(cards, offer_details(pages, spec, params), params, "both", detail_keys(pages, spec), unique=True)
     if not lone_details:
         return cards
+    cards = cut(cards, "cards")
+    details = without_card(routed(pages, spec, "jobDetail"), F.col("page.url"), cards)
     alone = replace(params, detailed=True)
-    every = detailed_offers(cards, offer_details(pages, spec, alone), alone)
     names = ["page", *[f.name for f in dataset_schema("jobOffers", False) if f.name != "metadata"], *ORDER]
-    own = every.filter(F.col("listing") == "\U0010ffff").select(*names)
+    own = lone_offers(offer_details(details, spec, alone), alone).select(*names)
     return cards.select(*names[:-1], F.col("pos").cast("bigint").alias("pos")).unionByName(own)
 
 
@@ -140,17 +159,18 @@ def link_list(pages: DataFrame, kind: str, spec: SiteSpec, params: RunParams) ->
     A list page without a tab in its URL shows the first one; captures of the
     same tab count once, the latest.
     """
-    wanted = route_pages(pages, spec).filter(F.col("list_kind") == kind)
+    wanted = latest_captures(routed(pages, spec, "jobRelatedList").filter(F.col("list_kind") == kind), L.list_key())
     found = L.list_pages(
         routed_dom(wanted, spec, "jobRelatedList"), spec, params.keep_base_query
     )
-    links = in_order(L.explode_rows(latest(found, "capture", *capture_order())))
+    links = in_order(L.explode_rows(found))
     return L.locations_list(links) if kind == "locations" else L.generic_list(links, kind)
 
 
 def partner_list(pages: DataFrame, spec: SiteSpec, params: RunParams) -> DataFrame:
-    found = L.partner_pages(routed_dom(pages, spec, "partners"), spec, params.keep_base_query)
-    return in_order(L.explode_rows(latest(found, "capture", *capture_order())))
+    shown = latest_captures(routed(pages, spec, "partners"), url_key(F.col("effective_url")))
+    found = L.partner_pages(routed_dom(shown, spec, "partners"), spec, params.keep_base_query)
+    return in_order(L.explode_rows(found))
 
 
 def in_order(rows: DataFrame) -> DataFrame:

@@ -25,12 +25,10 @@ def workspace(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Reliable checkpoint: the rows are written once and read by every consumer.
+    """Rows written once as Parquet into the shared folder, for consumers that read them more than once.
 
-    Used where two branches read the same extraction, which Spark would
-    otherwise run twice. It survives the loss of executors.
+    Each consumer then reads the columns it needs, and the rows survive the loss of executors.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(workspace(df.sparkSession, name))
-    return df.checkpoint()
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
