@@ -133,11 +133,16 @@ def listing_pages(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = F
 def explode_entries(pages: DataFrame) -> DataFrame:
     """Page rows -> offer rows, with the position in the page as ``pos``."""
     keep = [c for c in pages.columns if c not in ("entries", "counter", "empty", "n")]
-    return pages.select(*keep, F.posexplode("entries").alias("pos", "entry")).select(
+    return explode_once(pages, keep).select(
         *keep, "pos", *[F.col("entry")[f.name].alias(f.name) for f in OFFER_SIMPLE]
     )
 
 
+def explode_once(pages: DataFrame, keep: list[str]) -> DataFrame:
+    """(keep, pos, entry). For a plain explode Spark adds a filter on the array's size, moves it below the projection and so extracts all entries twice."""
+    return pages.select(*keep, F.posexplode_outer("entries").alias("pos", "entry")).filter(F.col("pos").isNotNull())
+
+
 def result_totals(pages: DataFrame) -> DataFrame:
     """Count-only mode: results announced per listing, the largest of its pages."""
     return (

@@ -9,6 +9,7 @@ from pagetables.functions.arrays import built_once, fill_headings, let, rank
 from pagetables.functions.dom import Dom
 from pagetables.functions.text import str_as_number
 from pagetables.functions.urls import get_query_param, resolve_against, set_query_param, split_url, url_key
+from pagetables.operators.listing import explode_once
 from pagetables.operators.relational import capture_order, latest
 from pagetables.spec import HOME_COUNTRY, SiteSpec
 
@@ -164,7 +165,7 @@ def list_pages(shredded: DataFrame, spec: SiteSpec, keep_base_query: bool = Fals
 def explode_rows(pages: DataFrame) -> DataFrame:
     """Page rows -> one row per entry, with its position as ``pos``."""
     keep = [c for c in pages.columns if c != "entries"]
-    return pages.select(*keep, F.posexplode("entries").alias("pos", "e")).select("*", "e.*").drop("e")
+    return explode_once(pages, keep).select("*", "entry.*").drop("entry")
 
 
 def generic_list(links: DataFrame, kind: str) -> DataFrame:

@@ -25,6 +25,10 @@ SEARCHED_DETAILED = DESCRIPTION_FIELDS
 ENTRY_KEYS = {"jobOffers": ("offerId",)}
 
 
+#: Keys of some tens of bytes that may be broadcast.
+_FEW = 200_000
+
+
 def entry_key(kind: str) -> tuple[str, ...]:
     return ENTRY_KEYS.get(kind, ("url",))
 
@@ -54,20 +58,28 @@ def capture_order() -> tuple[Column, Column]:
 def latest_captures(pages: DataFrame, key: Column) -> DataFrame:
     """Captured pages without those that a later capture of the same page replaces, before anything is parsed.
 
-    Which captures stay is decided on keys, times and ids alone; only keys captured more than once are looked up again, so
-    that the pages themselves stay where they are as long as these are few. Of captures that agree in time and id
-    one stays, by its content. Pages without a key are dropped, as nothing can refer to them.
+    Which captures stay is decided on keys, times and ids alone, in a job that runs right away and finds the keys captured more
+    than once. Only these are looked up again, and they are broadcast if a count shows that they are few; so the pages
+    themselves stay where they are. Of captures that agree in time and id one stays, by its content. Pages without a key are
+    dropped, as nothing can refer to them.
     """
     order = F.struct(*[c.alias(f"o{k}") for k, c in enumerate(capture_order())])
     keyed = pages.withColumns({"_key": key, "_order": order}).filter(F.col("_key").isNotNull())
     times = keyed.groupBy("_key", "_order").agg(F.count(F.lit(1)).alias("_n"))
-    tops = (
-        times.groupBy("_key").agg(F.max(F.struct("_order", "_n")).alias("_top"), F.sum("_n").alias("_all"))
-        .filter("_all > 1").select("_key", F.col("_top._order").alias("_top"), (F.col("_top._n") > 1).alias("_tied"))
+    tops = times.groupBy("_key").agg(F.max(F.struct("_order", "_n")).alias("_top"), F.sum("_n").alias("_all")).filter("_all > 1").select(
+        "_key", F.col("_top._order").alias("_top"), (F.col("_top._n") > 1).alias("_tied")
     )
     columns = pages.columns
+    again = tops.limit(_FEW + 1).count()
+    if not again:
+        return keyed.select(*columns)
+    tops = cut(tops, "recaptured")
+    if again <= _FEW:
+        tops = F.broadcast(tops)
     marked = keyed.join(tops, "_key", "left")
     single = marked.filter(F.col("_top").isNull() | (F.col("_order").eqNullSafe(F.col("_top")) & ~F.col("_tied"))).select(*columns)
+    if tops.filter("_tied").isEmpty():
+        return single
     same = keyed.join(tops.filter("_tied"), "_key").filter(F.col("_order").eqNullSafe(F.col("_top")))
     one = same.groupBy("_key").agg(F.max_by(F.struct(*columns), F.xxhash64("html")).alias("_row")).select(
         *[F.col("_row")[c].alias(c) for c in columns]
