@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagetables.functions.urls import set_query_param
 from pagetables.operators.listing import page_number
 from pagetables.schemas import FRONTIER
+from pagetables.sources.workspace import cut
 from pagetables.spec import ROWS_PER_PAGE
 
 _SPAN = 1000  # pages per running-sum block
@@ -54,14 +55,25 @@ def running_rows(pages: DataFrame) -> DataFrame:
 def run_rows(pages: DataFrame) -> DataFrame:
     """``running_rows`` with ``before`` counted over all listings of a run, in the order of their keys.
 
-    Pages after a listing's end count nothing. The window over listings has one row per listing.
+    Pages after a listing's end count nothing. The sum over listings is taken in ranges of listings side by side; what lies before
+    each range is added from the ranges' totals, as many numbers as partitions, which a job right away finds.
     """
-    placed = running_rows(pages).filter(
+    placed = cut(running_rows(pages).filter(
         F.col("end_page").isNull() | (F.col("page_num") < F.col("end_page"))
+    ), "running-rows")
+    spark = placed.sparkSession
+    sums = placed.groupBy(F.col("listing").alias("_listing")).agg(F.sum("n").alias("_rows"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut(sums.repartitionByRange(parts, "_listing").withColumn("_part", F.spark_partition_id()), "listing-ranges")
+    before, total = [], 0
+    for r in sorted(ranged.groupBy("_part").agg(F.sum("_rows").alias("n")).collect()):
+        before.append((r[0], total))
+        total += r.n
+    earlier = Window.partitionBy("_part").orderBy("_listing").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = F.broadcast(spark.createDataFrame(before, "_part int, _before bigint"))
+    offsets = ranged.withColumn("_within", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).join(ranges, "_part").select(
+        "_listing", (F.col("_before") + F.col("_within")).alias("_earlier")
     )
-    earlier = Window.orderBy("_listing").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy(F.col("listing").alias("_listing")).agg(F.sum("n").alias("_rows"))
-    offsets = offsets.select("_listing", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_earlier"))
     return placed.join(offsets, F.col("listing") == F.col("_listing")).select(
         "listing", "page_num", "n", (F.col("before") + F.col("_earlier")).alias("before"), "end_page"
     )
@@ -148,26 +160,46 @@ def next_pages(pages: DataFrame, limit: int | None = None, existing: int = 0,
     )
 
 
-def announced_pages(pages: DataFrame) -> DataFrame:
-    """Frontier rows for all pages a listing's result counter announces."""
-    totals = (
+def announced_gaps(pages: DataFrame) -> DataFrame:
+    """(listing, first, last): runs of page numbers that a listing's result counter announces and no page answers.
+
+    A run is one row, however far a counter counts. Gaps are found between neighbours within blocks of page numbers, and between
+    the ends of blocks, so that a listing with most of the pages is no single task's work.
+    """
+    last = (
         pages.filter(F.col("counter").isNotNull())
         .groupBy("listing")
         .agg(F.max("counter.total").alias("total"))
         .filter(F.col("total") > 0)
+        .select("listing", F.ceil(F.col("total") / ROWS_PER_PAGE).cast("bigint").alias("last_page"))
+    )
+    seen = pages.filter(F.col("page_num") > 0).select("listing", "page_num", F.floor(F.col("page_num") / _SPAN).alias("block")).distinct()
+    in_block = Window.partitionBy("listing", "block").orderBy("page_num")
+    inner = seen.select("listing", (F.col("page_num") + 1).alias("first"), (F.lead("page_num").over(in_block) - 1).alias("last")).filter(F.col("last").isNotNull())
+    ends = seen.groupBy("listing", "block").agg(F.min("page_num").alias("low"), F.max("page_num").alias("high"))
+    by_block = Window.partitionBy("listing").orderBy("block")
+    outer = ends.select(
+        "listing", (F.coalesce(F.lag("high").over(by_block), F.lit(0)) + 1).alias("first"), (F.col("low") - 1).alias("last")
     )
+    tops = ends.groupBy("listing").agg(F.max("high").alias("high"))
+    tails = last.join(tops, "listing", "left").select("listing", (F.coalesce("high", F.lit(0)) + 1).alias("first"), "last_page")
+    between = inner.unionByName(outer).join(last, "listing").select("listing", "first", F.least("last", "last_page").alias("last"))
+    return between.unionByName(tails.withColumnRenamed("last_page", "last")).filter("first <= last")
+
+
+def gap_pages(gaps: DataFrame) -> DataFrame:
+    """Frontier rows for all pages of ``announced_gaps``, one each."""
     # numbers in base 1000, so that no counter, however wrong, asks for a huge array
-    last = F.ceil(F.col("total") / ROWS_PER_PAGE)
-    numbers = totals.select("listing", last.alias("last"), F.lit(0).cast("bigint").alias("k"))
+    numbers = gaps.select("listing", "last", F.col("first").alias("k"))
     for step in (1_000_000, 1000, 1):
-        left = F.floor((F.col("last") - 1 - F.col("k")) / step)
+        left = F.floor((F.col("last") - F.col("k")) / step)
         here = left if step == 1_000_000 else F.least(left, F.lit(999))
         numbers = numbers.select(
             "listing", "last", F.col("k").alias("begin"),
             F.explode(F.sequence(F.lit(0).cast("bigint"), here)).alias("i"),
         ).select("listing", "last", (F.col("begin") + F.col("i") * step).alias("k"))
     return frontier(
-        numbers.withColumn("k", F.col("k") + 1),
+        numbers,
         url=set_query_param(F.col("listing"), "page_num", F.col("k")),
         label="jobListing",
         page_num=F.col("k"),
@@ -176,6 +208,11 @@ def announced_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def announced_pages(pages: DataFrame) -> DataFrame:
+    """Frontier rows for the pages that a listing's result counter announces, less those that ``pages`` has."""
+    return gap_pages(announced_gaps(pages))
+
+
 def frontier(rows: DataFrame, url: Column, label: str, page_num: Column, parent: Column,
              reason: str) -> DataFrame:
     """Rows in the frontier schema."""

@@ -154,6 +154,14 @@ def merge_listing_detail(listing: DataFrame, detail: DataFrame, how: str = "list
     )
 
 
+def entry_name(key: tuple[str, ...], content: list[str]) -> Column:
+    """What tells a row from others: its key, or all that it holds if a part of the key is missing."""
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    return F.when(known, F.concat(F.lit("k"), F.to_json(F.struct(*key)))).otherwise(
+        F.concat(F.lit("c"), F.sha2(F.to_json(F.struct(*content)), 256))
+    )
+
+
 def only_new(rows: DataFrame, prior: DataFrame, key: tuple[str, ...],
              order: tuple[str, ...] = ()) -> DataFrame:
     """Rows whose key is not in earlier output, one per key.
@@ -163,20 +171,24 @@ def only_new(rows: DataFrame, prior: DataFrame, key: tuple[str, ...],
     aggregation and the join reuses the partitioning of the aggregates. Rows
     with a NULL in their key are told apart by all that they hold, and only an equal earlier row makes them old.
     """
-    as_key = F.struct(*key)
+    shared = [c for c in rows.columns if c in prior.columns and c != "metadata"]
+    seen = prior.select(entry_name(key, shared).alias("_name"))
+    return unseen(rows, seen, key, shared, order)
+
+
+def unseen(rows: DataFrame, seen: DataFrame, key: tuple[str, ...], content: list[str],
+           order: tuple[str, ...] = ()) -> DataFrame:
+    """Rows whose ``entry_name`` is not in ``seen`` (column ``_name``), one per key. Rows without a key all stay."""
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
     pick = F.struct(*order) if order else F.struct(*[c for c, t in rows.dtypes if "map<" not in t])
     fresh = (
-        rows.filter(known).groupBy(as_key.alias("_key"))
+        rows.filter(known).groupBy(entry_name(key, content).alias("_name"))
         .agg(F.min_by(F.struct(*rows.columns), pick).alias("_row"))
     )
-    seen = prior.filter(known).select(as_key.alias("_key")).distinct()
-    new = fresh.join(seen, "_key", "left_anti").select("_row.*")
-    shared = [c for c in rows.columns if c in prior.columns and c != "metadata"]
-    content = F.sha2(F.to_json(F.struct(*shared)), 256).alias("_content")
-    old = prior.filter(~known).select(content).distinct()
-    keyless = rows.filter(~known).withColumn("_content", content)
-    return new.unionByName(keyless.join(old, "_content", "left_anti").drop("_content"))
+    seen = seen.distinct()
+    new = fresh.join(seen, "_name", "left_anti").select("_row.*")
+    keyless = rows.filter(~known).withColumn("_name", entry_name(key, content))
+    return new.unionByName(keyless.join(seen, "_name", "left_anti").drop("_name"))
 
 
 def frontier_gap(needed: DataFrame, captured: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -179,7 +180,8 @@ def in_order(rows: DataFrame) -> DataFrame:
 
 
 def run_dataset(pages: DataFrame, spec: SiteSpec, params: RunParams,
-                prior: DataFrame | None = None, existing: int = 0, lone_details: bool = False) -> DataFrame:
+                prior: DataFrame | None = None, existing: int = 0, lone_details: bool = False,
+                keep_new: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """One dataset with everything the run options ask for.
 
     ``pages`` is the output of ``read_pages``; ``prior`` is earlier output of the
@@ -206,16 +208,21 @@ def run_dataset(pages: DataFrame, spec: SiteSpec, params: RunParams,
         rows = partner_list(pages, spec, params)
     else:
         rows = link_list(pages, kind, spec, params)
-    return finished(rows, kind, params, prior, existing)
+    return finished(rows, kind, params, prior, existing, keep_new)
 
 
 def finished(rows: DataFrame, kind: str, params: RunParams, prior: DataFrame | None = None,
-             existing: int = 0) -> DataFrame:
-    """Extracted rows as the dataset shows them: only new ones, up to the limit, masked and through the user's hooks."""
+             existing: int = 0, keep_new: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Extracted rows as the dataset shows them: only new ones, up to the limit, masked and through the user's hooks.
+
+    ``keep_new`` takes the place of ``prior`` where old entries are known in another way.
+    """
     fields = dataset_schema(kind, params.detailed).fieldNames()
     rows = with_metadata(rows, params).select(*fields, "metadata", *[F.col(c).alias(f"_{c}") for c in ORDER])
     if prior is not None:
         rows = only_new(rows, prior, entry_key(kind))
+    if keep_new is not None:
+        rows = keep_new(rows)
     if params.max_entries is not None:
         ordered = rows.withColumnsRenamed({f"_{c}": c for c in ORDER})
         rows = limit_rows(cut(ordered, "rows"), params.max_entries, existing).select(*fields, "metadata")

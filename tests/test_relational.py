@@ -57,7 +57,8 @@ def test_announced_pages_of_large_counters(spark):
     rows = [("https://a.sk/", 20 * 2345), ("https://b.sk/", 1), ("https://c.sk/", 0)]
     df = spark.createDataFrame(rows, "listing string, total long").select(
         "listing", F.struct("total").alias("counter"))
-    got = Lim.announced_pages(df)
+    nothing = df.withColumn("page_num", F.lit(0).cast("bigint"))
+    got = Lim.announced_pages(nothing)
     counts = {r.parent_url: (r.n, r.lo, r.hi) for r in got.groupBy("parent_url").agg(
         F.countDistinct("listing_page_num").alias("n"), F.min("listing_page_num").alias("lo"),
         F.max("listing_page_num").alias("hi")).collect()}
@@ -65,6 +66,39 @@ def test_announced_pages_of_large_counters(spark):
     assert got.count() == 2346
 
 
+def test_gaps_between_captured_pages(spark):
+    rng = random.Random(3)
+    pages, want = [], []
+    for listing, total, most in (("https://h.sk/", 10 ** 11, 4200), ("https://s.sk/", 410, 30), ("https://n.sk/", None, 5), ("https://one.sk/", 20, 1)):
+        seen = sorted(rng.sample(range(1, 2 * most + 1), most))
+        pages += [(listing, k, total if k % 2 or most == 1 else None) for k in seen]
+        if total is None or not any(k % 2 or most == 1 for k in seen):
+            continue
+        last, ends = -(-total // 20), [0, *[k for k in seen], None]
+        for a, b in zip(ends, ends[1:]):
+            lo, hi = a + 1, min(last, (b if b else last + 1) - 1)
+            if lo <= hi:
+                want.append((listing, lo, hi))
+    df = spark.createDataFrame(pages, "listing string, page_num long, total long").select(
+        "listing", "page_num", F.when(F.col("total").isNotNull(), F.struct("total")).alias("counter"))
+    got = Lim.announced_gaps(df)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert max(r["last"] for r in got.collect()) == 5 * 10 ** 9  # one row for billions of pages
+
+
+def test_run_rows_sum_up_in_ranges(spark):
+    rng = random.Random(9)
+    pages = [(f"l{k:04d}", n, rng.choice([0, 5, 20]), False) for k in range(600) for n in range(1, rng.randint(2, 5))]
+    df = spark.createDataFrame(pages, "listing string, page_num long, n int, empty boolean")
+    got = Lim.run_rows(df)
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    before, want = 0, {}
+    for listing, number, n, _ in sorted(pages):
+        want[listing, number] = before
+        before += n
+    assert {(r.listing, r.page_num): r.before for r in got.collect()} == want
+
+
 def test_only_new_with_repeats_and_missing_keys(spark):
     fresh = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3), (None, 5), (None, 4), ("c", 6)], "k string, v int")
     prior = spark.createDataFrame([("c", 0), ("c", 1)], "k string, v int")

@@ -275,6 +275,33 @@ SELECT '{SITE}/praca/blok-' || l || '/?page_num=' || p AS url, 'jobListing' AS l
   CAST(p AS BIGINT) AS listing_page_num
 FROM need WHERE (l, p) NOT IN (SELECT (l, p) FROM have)"""
 
+Q["q18c_frontier"] = f"""
+WITH p AS (SELECT DISTINCT {LISTING} AS listing, {PAGE} AS page_num FROM orders),
+l AS (SELECT DISTINCT o_orderkey // 50 AS blok, o_orderstatus = 'F' AS home FROM orders)
+SELECT 'https://jobs-example.sk/praca' AS url, NULL AS label, 'seed' AS reason
+UNION ALL SELECT 'https://www.jobs-example.sk/praca/zoznam-lokalit', NULL, 'seed'
+UNION ALL SELECT '{SITE}/praca/blok-' || listing || '/?page_num=' || (page_num + 1), 'jobListing', 'next page'
+  FROM p a WHERE NOT EXISTS (SELECT 1 FROM p b WHERE b.listing = a.listing AND b.page_num = a.page_num + 1)
+    AND EXISTS (SELECT 1 FROM orders WHERE o_orderpriority <> '1-URGENT' AND {LISTING} = a.listing AND {PAGE} = a.page_num)
+UNION ALL SELECT {OFFER_URL}, 'jobDetail', 'offer detail' FROM {JOINED} WHERE o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT'
+UNION ALL SELECT '{SITE}/praca/zoznam-lokalit/?blok=' || blok || '&tab_index=' || i, 'jobRelatedList', 'list tab'
+  FROM (SELECT DISTINCT blok FROM l) b, (VALUES (0), (1)) t(i) WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.blok = b.blok AND l.home AND i = 0)"""
+
+Q["q18d_announced_gaps"] = f"""
+WITH t AS (SELECT c_custkey, count(*) * 137 AS total FROM customer JOIN orders ON c_custkey = o_custkey
+  WHERE c_mktsegment <> 'MACHINERY' GROUP BY c_custkey)
+SELECT '{SITE}/praca/zakaznik-' || c_custkey || '/' AS listing, CAST(2 AS BIGINT) AS first, CAST((total + 19) // 20 - 1 AS BIGINT) AS last
+FROM t WHERE (total + 19) // 20 > 2"""
+
+# the newest capture is of day 9, so days before 6 are late in the second and third file, unless the first has their URL
+Q["q24b_late_captures"] = """
+WITH d AS (SELECT split_part(url, '#', 1) AS u, page_id % 10 AS day FROM pages),
+k AS (SELECT u, max(day) >= 8 OR bool_or(day >= 6) AS known FROM d GROUP BY u)
+SELECT CAST(2 * count(*) AS BIGINT) AS captures, CAST(count(DISTINCT d.u) FILTER (known) AS BIGINT) AS kept,
+  CAST(2 * count(*) FILTER (NOT known) AS BIGINT) AS late,
+  CAST(2 * count(*) - count(DISTINCT d.u) FILTER (known) - 2 * count(*) FILTER (NOT known) AS BIGINT) AS again
+FROM d JOIN k USING (u)"""
+
 Q["q18b_filter_urls"] = f"""
 WITH c AS (SELECT c_custkey, '{SITE}/praca/' AS a, lower(c_mktsegment) || '/?page_num=' AS b FROM customer)
 SELECT c_custkey, a || b || c_custkey || '&salary=6&search_anywhere=asis+x&count_days=70&remote_work=2&salary_period=h'

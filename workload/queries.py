@@ -311,6 +311,22 @@ def q18_missing_pages(spark: SparkSession, sf: str) -> DataFrame:
     return gap.select("url", "label", F.col("listing_page_num").cast("bigint").alias("listing_page_num"))
 
 
+def q18c_frontier(spark: SparkSession, sf: str) -> DataFrame:
+    """All that a detailed run of offers and a run of locations still need: seeds, next pages, details and tabs."""
+    tab = F.col("url").endswith("&tab_index=0")
+    offers = site_pages(spark, C.listing_pages(spark, sf), C.order_detail_pages(spark, sf))
+    places = site_pages(spark, C.location_entry_pages(spark, sf), C.location_pages(spark, sf).filter(tab))
+    needed = [P.missing_pages(offers, SPEC, RunParams(dataset="jobOffers", detailed=True)),
+              P.missing_pages(places, SPEC, RunParams(dataset="locations"))]
+    return needed[0].unionByName(needed[1]).select("url", "label", "reason")
+
+
+def q18d_announced_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of announced pages between the first and the last page of each customer's listing."""
+    pages = Li.listing_pages(Ro.routed_dom(captured(C.counter_pages(spark, sf)), SPEC, "jobListing"), SPEC)
+    return Lim.announced_gaps(cut(pages.select("listing", "page_num", "counter")))
+
+
 def q18b_filter_urls(spark: SparkSession, sf: str) -> DataFrame:
     asked = OfferFilters(query="asis x", min_salary=6, min_salary_period="hour", employment_type="fte",
                          remote_type="partialRemote", last_n_days=70)
@@ -445,6 +461,19 @@ def q24_stream(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("url_key")
 
 
+def q24b_late_captures(spark: SparkSession, sf: str) -> DataFrame:
+    """Files in reverse order of capture, each page twice: every capture is kept, late or a repeat."""
+    base = workspace(spark, "reverse")
+    pages = table(spark, sf, "pages")
+    day = (F.col("page_id") % 10).cast("int")
+    dated = pages.withColumn("fetched_at", F.date_add(F.lit("2024-05-01").cast("date"), day).cast("timestamp"))
+    again = dated.withColumn("url", F.concat(F.substring_index("url", "#", 1), F.lit("#again")))
+    sink = S.dedupe_sink(base, "3 days")
+    for n, part in enumerate((dated.filter(day >= 8), dated.filter(day < 8), again)):
+        sink(captured(part), n)
+    return S.captures_of(spark, base)
+
+
 def q25_salary_by_location(spark: SparkSession, sf: str) -> DataFrame:
     offers = P.run_dataset(captured(C.listing_pages(spark, sf)), SPEC, OFFERS)
     return offers.filter(F.col("salaryRangeLower").isNotNull()).groupBy("location", "salaryCurrency").agg(
