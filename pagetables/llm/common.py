@@ -58,6 +58,12 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
+def parts_of_text(rows: DataFrame, column: str, part_bytes: int) -> int:
+    """Partitions that hold about so many bytes of a text column as it is in memory; files may be much smaller."""
+    size = rows.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    return max(1, -(-int(size) // part_bytes))
+
+
 def parts_for(df: DataFrame, part_bytes: int) -> int:
     """Partitions of about so many bytes by the optimizer's estimate, which for files is their size;
     the session's number of shuffle partitions where there is no estimate."""
@@ -74,10 +80,20 @@ def keep_rows(docs: DataFrame, decided: DataFrame, id_column: str, text_column:
 
     Only rows that go or repeat are looked up, so that the narrow side of the join is small.
     """
-    named = decided.groupBy("doc_id", "whole").agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows")).where("NOT __kept OR __rows > 1")
-    named = sized(stage(named.select(F.col("doc_id").alias("__id"), F.col("whole").alias("__whole"), "__kept"), "decided"))
-    marked = docs.withColumn("__text", F.xxhash64(text_of(text_column)))
-    on = F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__whole"))
-    others = marked.join(named, on, "left_anti").drop("__text")
-    repeated = marked.join(named.where("__kept"), on, "left_semi").dropDuplicates([id_column, "__text"]).drop("__text")
+    own = spare(docs.columns)
+    named = decided.groupBy("doc_id", "whole").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")).where("NOT kept OR rows > 1")
+    named = named.select(F.col("doc_id").alias(f"{own}id"), F.col("whole").alias(f"{own}whole"), F.col("kept").alias(f"{own}kept"))
+    named = sized(stage(named, "decided"))
+    marked = docs.withColumn(f"{own}text", F.xxhash64(text_of(text_column)))
+    on = F.col(id_column).eqNullSafe(F.col(f"{own}id")) & (F.col(f"{own}text") == F.col(f"{own}whole"))
+    others = marked.join(named, on, "left_anti").drop(f"{own}text")
+    repeated = marked.join(named.where(F.col(f"{own}kept")), on, "left_semi").dropDuplicates([id_column, f"{own}text"]).drop(f"{own}text")
     return others.unionByName(repeated)
+
+
+def spare(columns: list[str]) -> str:
+    """A beginning that none of these columns' names has."""
+    own = "_own_"
+    while any(c.lower().startswith(own) for c in columns):
+        own = f"_{own}"
+    return own

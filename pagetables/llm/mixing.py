@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, sized, stage, text_of
+from .common import WORD, sized, spare, stage, text_of
 
 
 @dataclass(frozen=True)
@@ -156,29 +156,31 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           params: MixParams = MixParams()) -> DataFrame:
     """The mix itself: each row as often as the nearest whole number of times that its words are taken.
 
-    Rows that repeat id, source and size share what they take evenly. Rows without words stay once.
+    Rows that repeat id, source and size share what they take evenly, null ids and sources included. Rows without words stay once. As whole blocks are
+    dealt out, a corpus of less than half a block of words takes none. No rows give no rows.
     """
+    own = spare(docs.columns)
     taken = stage(mix(docs, id_column, text_column, source_column, params), "mix-taken")
     times = stage(
         taken.groupBy("doc_id", "source", "size")
         .agg((F.sum("taken") / F.count("*")).alias("_taken"))
         .select(
-            F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
-            F.when(F.col("size") > 0, F.floor(F.col("_taken") / F.col("size") + 0.5)).otherwise(1).cast("int").alias("__times"),
+            F.col("doc_id").alias(f"{own}id"), F.col("source").alias(f"{own}source"), F.col("size").alias(f"{own}size"),
+            F.when(F.col("size") > 0, F.floor(F.col("_taken") / F.col("size") + 0.5)).otherwise(1).cast("int").alias(f"{own}times"),
         )
-        .where("__times != 1"),
+        .where(F.col(f"{own}times") != 1),
         "mix-times",
     )
-    marked = docs.withColumn("__words", F.regexp_count(text_of(text_column), F.lit(WORD)).cast("long"))
+    marked = docs.withColumn(f"{own}words", F.regexp_count(text_of(text_column), F.lit(WORD)).cast("long"))
     on = (
-        F.col(id_column).eqNullSafe(F.col("__id")) & F.col(source_column).eqNullSafe(F.col("__source"))
-        & (F.col("__words") == F.col("__size"))
+        F.col(id_column).eqNullSafe(F.col(f"{own}id")) & F.col(source_column).eqNullSafe(F.col(f"{own}source"))
+        & (F.col(f"{own}words") == F.col(f"{own}size"))
     )
     # only rows that don't stay once are named, so the narrow side is small
     return (
         marked.join(sized(times), on, "left")
-        .withColumn("__times", F.coalesce("__times", F.lit(1)))
-        .where("__times > 0")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+        .withColumn(f"{own}times", F.coalesce(f"{own}times", F.lit(1)))
+        .where(F.col(f"{own}times") > 0)
+        .withColumn(f"{own}copy", F.explode(F.sequence(F.lit(1), F.col(f"{own}times"))))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

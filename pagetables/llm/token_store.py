@@ -10,7 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import parts_for, sized, small_batches, text_of
+from .common import parts_of_text, sized, small_batches, text_of
+from .worker import release
 
 STORED = "doc_id long, shard int, shard_start long, n_tokens long, token_ids array<int>"
 
@@ -19,7 +20,7 @@ STORED = "doc_id long, shard int, shard_start long, n_tokens long, token_ids arr
 class StoreParams:
     tokenizer: str  # path of a tokenizers file
     end_id: int = 2
-    shard_bytes: int = 32 << 20  # of input to a file
+    shard_bytes: int = 32 << 20  # of text to a file
     row_group_bytes: int = 16 << 20
     page_rows: int = 2_000  # most rows of a page, so that a page index leads to few documents
     dictionary_bytes: int = 1 << 20  # all ids of a vocabulary of 262,144 fit
@@ -34,7 +35,7 @@ def write_tokens(docs: DataFrame, path: str, params: StoreParams, id_column: str
     lie side by side, ordered by their texts' hash; null ids come first. Other columns are ignored.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"))
-    parts = parts_for(rows, params.shard_bytes)
+    parts = parts_of_text(rows, "text", params.shard_bytes)
     order = ["doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     spark = docs.sparkSession
@@ -103,6 +104,7 @@ def token_digests(tokens: DataFrame) -> DataFrame:
     def digest(stream):
         from .tokens import crc32_of
 
+        release()
         for batch in stream:
             lists = batch.column(2)
             ids, offsets = np.asarray(lists.values), np.asarray(lists.offsets)

@@ -18,6 +18,20 @@ _MARKS = frozenset(".,;:!?")
 _SEGMENT = re.compile(rf"[{_LETTERS}]+|[.,;:!?]+|\n")
 
 
+#: Stands before a piece that follows the one before without a space; texts that hold it are not cut so.
+_GLUED = "\x01"
+#: Marks after a letter, and a single line end between a mark or letter and a letter, are pieces of their own in any case.
+_MARK = (rf"([{_LETTERS}])([.,;:!?])", rf"\1 {_GLUED}\2")
+_LINE = (rf"([{_LETTERS}.,;:!?])\n([{_LETTERS}])", f"\\1 {_GLUED}\n {_GLUED}\\2")
+
+
+# The normalizer and the cuts of word tokenizers that are known here.
+_WORD_FORM = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_WORD_CUTS = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}]
+
 #: White space right after a space belongs to the piece before.
 _ODD = r"^(?:$|[\s\x1c-\x1f\x{85}\p{Z}])"
 
@@ -37,8 +51,7 @@ class WordCoder:
     can be encoded on their own and remembered; new pieces of plain words and marks are made of
     remembered words. Files of other kinds are encoded text by text.
 
-    ``keep`` bounds the memory: with so many pieces known, those met only once are forgotten, and all if
-    that isn't enough. A piece longer than ``longest`` is encoded and not kept.
+    ``keep`` bounds the memory: with twice as many pieces known, the most frequent are kept. A piece longer than ``longest`` is encoded and not kept.
     """
 
     def __init__(self, path: str, keep: int = 200_000, longest: int = 40):
@@ -53,9 +66,11 @@ class WordCoder:
         pre, normal = shape.get("pre_tokenizer") or {}, shape.get("normalizer")
         #: the space belongs to the word after it
         self.prefixed = pre.get("type") == "ByteLevel" and bool(pre.get("use_regex")) and not normal and not pre.get("add_prefix_space")
-        first = (pre.get("pretokenizers") or [{}])[0]
-        #: white space is dropped
-        self.dropped = pre.get("type") == "Sequence" and first.get("behavior") == "Removed" and first.get("invert") is True and "\\s" in json.dumps(first)
+        cuts = [{k: v for k, v in p.items() if k != "trim_offsets"} for p in pre.get("pretokenizers") or []]
+        #: white space is dropped, and letters are in lower case
+        self.dropped = pre.get("type") == "Sequence" and cuts == _WORD_CUTS and normal == _WORD_FORM
+        if shape["model"].get("type") != "BPE" or shape["model"].get("dropout") or not all(t["special"] for t in shape.get("added_tokens") or []):
+            self.prefixed = self.dropped = False
         self.lead = " " if self.prefixed else ""
         vocab = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocab.values()) + 1, bool)
@@ -81,7 +96,7 @@ class WordCoder:
         self.pool, self.used = np.zeros(1 << 18, np.int32), 0
 
     def _shrink(self) -> None:
-        """Forget what was met once."""
+        """Forget what was met once, and of the rest all but the most frequent."""
         tables, starts, lengths, hits, pool = self.tables, self.starts, self.lengths, self.hits, self.pool
         self._forget()
         for name, table in tables.items():
@@ -89,7 +104,7 @@ class WordCoder:
             numbers = np.fromiter(table.values(), np.int64, len(names))
             often = np.flatnonzero(hits[numbers] > 1)
             if len(often) > self.keep // 2:
-                continue
+                often = often[np.argpartition(-hits[numbers[often]], self.keep // 2)[:self.keep // 2]]
             own = numbers[often]
             first = self._add(_gather(pool, starts[own], lengths[own]), lengths[own])
             self.tables[name] = _Numbers(zip([names[k] for k in often], range(first, first + len(often))))
@@ -199,7 +214,11 @@ class WordCoder:
             spaced = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z0-9])([.,;:!?])", r"\1 \2")
             lists = pc.ascii_split_whitespace(spaced)
         else:
-            lists = pc.split_pattern(texts, " ")
+            spaced = texts
+            if not pc.any(pc.match_substring(texts, _GLUED)).as_py():
+                # fewer pieces differ: a word is the same before a mark, a line end and a space
+                spaced = pc.replace_substring_regex(pc.replace_substring_regex(texts, *_MARK), *_LINE)
+            lists = pc.split_pattern(spaced, " ")
         offsets = np.asarray(lists.offsets).astype(np.int64)
         flat = lists.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0]))
         offsets = offsets - offsets[0]
@@ -223,7 +242,9 @@ class WordCoder:
             whole = np.zeros(len(counts), bool)
             whole[text_of[inner & strange[place]]] = True
             return self._merged(texts, whole)
-        of[used] = self._numbers(pieces, "after")
+        glued = np.fromiter((p.startswith(_GLUED) for p in pieces), bool, len(pieces)) if spaced is not texts else np.zeros(len(pieces), bool)
+        of[used[~glued]] = self._numbers([p for p, g in zip(pieces, glued) if not g], "after")
+        of[used[glued]] = self._numbers([p[1:] for p, g in zip(pieces, glued) if g], "bare")
         numbers = of[place]
         numbers[offsets[:-1]] = self._numbers([distinct[k] for k in place[offsets[:-1]]], "bare")
         return self._runs(numbers, counts)

@@ -13,7 +13,7 @@ def documents(spark):
         (9, "İstanbul ΣΑΣ é 日本語 \x00 x", "xx", "é", 2), (10, "the quick brown fox jumps over the lazy cat.", "en", "b", 1),
     ]
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, size int").selectExpr(
-        "*", "size AS kept", "size AS start", "lang AS _text", "size AS whole", "size AS fingerprint"
+        "*", "size AS kept", "size AS start", "lang AS _text", "size AS whole", "size AS fingerprint", "lang AS __id", "lang AS __text", "size AS __words", "size AS __times", "lang AS _own_id", "lang AS _own_text"
     )
 
 

@@ -15,9 +15,26 @@ def exact(ids, x, asked, k=20):
     return out
 
 
-@pytest.mark.parametrize("data", ["sf0.001", "check_h"])
-def test_recall_against_brute_force(spark, data):
-    folder = f"/root/testdata/{data}"
+@pytest.fixture(scope="module")
+def crowded(spark, tmp_path_factory):
+    """More than four full blocks of vectors; one vector is that of a third of all rows."""
+    draw = np.random.default_rng(7)
+    n, width = 34_000, 64
+    x = draw.normal(size=(n, width))
+    x[draw.random(n) < 1 / 3] = draw.normal(size=width)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path_factory.mktemp("vectors")
+    rows = pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), width).cast(pa.list_(pa.float64()))})
+    pq.write_table(rows, folder / "embeddings.parquet", row_group_size=8_000)
+    return str(folder)
+
+
+@pytest.mark.parametrize("data", ["sf0.001", "crowded"])
+def test_recall_against_brute_force(spark, data, request):
+    folder = f"/root/testdata/{data}" if data != "crowded" else request.getfixturevalue("crowded")
     table = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").toPandas()
     ids, x = table.vec_id.to_numpy(), np.array(table.embedding.tolist(), float)
     want = exact(ids, x, np.flatnonzero(ids % 20 == 0))

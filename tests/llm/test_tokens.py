@@ -26,7 +26,7 @@ def plain(name):
 @pytest.mark.parametrize("name", NAMES)
 def test_word_coder_equals_whole_text_encoding(name):
     draw = random.Random(3)
-    letters = list(" \n\t.,'sé1aB\x00́\u0085　Σ!ſß") + ["  ", ".\n", " the", "'ll"]
+    letters = list(" \n\t.,'sé1aB\x00\x01́\u0085　Σ!ſß") + ["  ", ".\n", " the", "'ll"]
     texts = ["", " ", "<|endoftext|> x<|endoftext|>", "x" * 3000 + " y", "a\n\n b \n"]
     texts += ["".join(draw.choice(letters) for _ in range(draw.randint(0, 60))) for _ in range(2000)]
     coder, encode = WordCoder(P.path(name), keep=50), plain(name)
@@ -38,6 +38,31 @@ def test_word_coder_equals_whole_text_encoding(name):
         assert ids.tolist() == [i for w in want for i in w]
 
 
+@pytest.mark.parametrize("change", ["no normalizer", "other normalizer", "other cuts", "words kept whole"])
+def test_files_of_other_kinds_are_encoded_text_by_text(tmp_path, change):
+    import json
+
+    with open(P.path(NAMES[0]), encoding="utf-8") as file:
+        shape = json.load(file)
+    if change == "no normalizer":
+        shape["normalizer"] = None
+    elif change == "other normalizer":
+        shape["normalizer"]["normalizers"].pop()
+    elif change == "other cuts":
+        shape["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "[^\\s]+"
+    else:
+        shape["added_tokens"] = [{"id": 5, "content": "lazy dog", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}]
+    path = str(tmp_path / "changed.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(shape, file)
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    texts = ["Hello World, THE end", "a,b  c.D", "", "the lazy dog. The End"]
+    ids, lengths = WordCoder(path).encode(texts)
+    want = [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_store_equals_brute_force(spark):
     encode = plain(NAMES[0])
     docs = sorted(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect())
