@@ -19,28 +19,31 @@ class PackParams:
     capacity: int = 1024
     groups: int = 512  # of large lengths, with equally many pieces each
     small: int = 256  # shorter pieces only fill gaps; at most three others share a sequence
-    part_rows: int = 1 << 20  # rows of a part in which ranks are counted
+    part_rows: int = 1 << 16  # rows of a part in which ranks are counted
+    batch_rows: int = 600  # documents that go to Python at a time
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2,
-           id_column: str = "doc_id", text_column: str = "text", ids: bool = False) -> DataFrame:
+           id_column: str = "doc_id", text_column: str = "text", ids: bool = False, keep: int = 200_000,
+           chars: int = 2_000_000) -> DataFrame:
     """Token pieces of whole texts: (doc_id, piece, start, length, ids_crc32), with ``ids`` also token_ids.
 
     A document's ids and the end id are cut only if they are more than ``capacity``; then the first
-    piece has what is over and the others are full. A null text is an empty one and gives the end id alone.
+    piece has what is over and the others are full. A null text is an empty one and gives the end id alone. Texts of any length are encoded whole.
+    No rows give no rows. ``keep`` words are remembered and about ``chars`` characters encoded together: more of both is faster and takes more memory.
     """
     schema = PIECES + (", token_ids array<int>" if ids else "")
 
     def cut(stream):
         from .tokens import batches, coder, crc32_of
 
-        code = coder(tokenizer)
+        code = coder(tokenizer, keep)
         for batch in stream:
             keys, texts = batch.column(0), batch.column(1)
-            for a, b in batches(texts):
+            for a, b in batches(texts, chars):
                 flat, lengths = code.encode(texts.slice(a, b - a))
                 ends = np.cumsum(lengths)
                 flat = np.insert(flat, ends, end_id)
@@ -207,7 +210,7 @@ def pack(parts: DataFrame, params: PackParams = PackParams()) -> DataFrame:
     Repeated rows are pieces of their own; null ids are ids like any other. No rows give no rows.
     """
     p = params
-    with small_batches(parts.sparkSession):
+    with small_batches(parts.sparkSession, p.batch_rows):
         parts = stage(parts.select("doc_id", "piece", "start", "length", "ids_crc32"), "pieces")
     counts = _histogram(parts, "length")
     order = ["doc_id", "piece", "start", "ids_crc32"]

@@ -87,8 +87,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = packing.pieces(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), capacity=1024, end_id=2)
-    return packing.pack(parts, packing.PackParams(capacity=1024))
+    docs = _table(spark, sf_dir, "documents")
+    parts = packing.pieces(docs, _tokenizer("byte_bpe_50k.json"), capacity=1024, end_id=2, keep=400_000, chars=8_000_000)
+    return packing.pack(parts, packing.PackParams(capacity=1024, batch_rows=2400))
 
 
 def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import json
 import os
 import re
 import zlib
+from itertools import repeat
 
 import numpy as np
 
@@ -36,13 +37,6 @@ _WORD_CUTS = [
 _ODD = r"^(?:$|[\s\x1c-\x1f\x{85}\p{Z}])"
 
 
-class _Numbers(dict):
-    """Numbers of known pieces; -1 for others."""
-
-    def __missing__(self, key):
-        return -1
-
-
 class WordCoder:
     """Encodes texts as ``Tokenizer.encode_batch(..., add_special_tokens=False)`` does, piece by piece.
 
@@ -90,7 +84,7 @@ class WordCoder:
 
     def _forget(self) -> None:
         #: pieces with the space before them, and pieces without
-        self.tables = {name: _Numbers() for name in ("after", "bare")}
+        self.tables = {name: {} for name in ("after", "bare")}
         self.starts, self.lengths, self.hits = (np.zeros(1 << 16, np.int64) for _ in range(3))
         self.count = 0
         self.pool, self.used = np.zeros(1 << 18, np.int32), 0
@@ -107,7 +101,7 @@ class WordCoder:
                 often = often[np.argpartition(-hits[numbers[often]], self.keep // 2)[:self.keep // 2]]
             own = numbers[often]
             first = self._add(_gather(pool, starts[own], lengths[own]), lengths[own])
-            self.tables[name] = _Numbers(zip([names[k] for k in often], range(first, first + len(often))))
+            self.tables[name] = dict(zip([names[k] for k in often], range(first, first + len(often))))
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -127,7 +121,7 @@ class WordCoder:
 
     def _numbers(self, pieces: list[str], name: str) -> np.ndarray:
         table = self.tables[name]
-        numbers = np.fromiter(map(table.__getitem__, pieces), np.int64, len(pieces))
+        numbers = np.fromiter(map(table.get, pieces, repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(numbers < 0).tolist()
         if missing:
             new = [pieces[k] for k in missing]
@@ -232,7 +226,6 @@ class WordCoder:
         inner[offsets[:-1]] = False
         used = np.flatnonzero(np.bincount(place[inner], minlength=len(distinct)))
         of = np.zeros(len(distinct), np.int64)
-        pieces = [distinct[k] for k in used]
         odd = used[np.asarray(pc.match_substring_regex(coded.dictionary, _ODD))[used]]
         if len(odd):
             # white space right after a space isn't a cut: such texts are encoded whole
@@ -242,9 +235,12 @@ class WordCoder:
             whole = np.zeros(len(counts), bool)
             whole[text_of[inner & strange[place]]] = True
             return self._merged(texts, whole)
-        glued = np.fromiter((p.startswith(_GLUED) for p in pieces), bool, len(pieces)) if spaced is not texts else np.zeros(len(pieces), bool)
-        of[used[~glued]] = self._numbers([p for p, g in zip(pieces, glued) if not g], "after")
-        of[used[glued]] = self._numbers([p[1:] for p, g in zip(pieces, glued) if g], "bare")
+        glued = np.zeros(len(distinct), bool)
+        if spaced is not texts:
+            glued = np.asarray(pc.starts_with(coded.dictionary, _GLUED))
+        apart, along = used[~glued[used]], used[glued[used]]
+        of[apart] = self._numbers([distinct[k] for k in apart.tolist()], "after")
+        of[along] = self._numbers([distinct[k][1:] for k in along.tolist()], "bare")
         numbers = of[place]
         numbers[offsets[:-1]] = self._numbers([distinct[k] for k in place[offsets[:-1]]], "bare")
         return self._runs(numbers, counts)
@@ -277,9 +273,9 @@ def _gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
 
 
-def coder(path: str) -> WordCoder:
+def coder(path: str, keep: int = 200_000) -> WordCoder:
     """The coder that this worker holds from task to task."""
-    return held(lambda: WordCoder(path), path)
+    return held(lambda: WordCoder(path, keep), path, keep)
 
 
 def batches(texts, chars: int = 2_000_000):
