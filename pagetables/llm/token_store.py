@@ -24,6 +24,9 @@ class StoreParams:
     row_group_bytes: int = 16 << 20
     page_rows: int = 2_000  # most rows of a page, so that a page index leads to few documents
     dictionary_bytes: int = 1 << 20  # all ids of a vocabulary of 262,144 fit
+    batch_rows: int = 1500  # documents that go to Python at a time
+    chars: int = 5_000_000  # about as many are encoded together
+    keep: int = 300_000  # words remembered; the most frequent, once there are twice as many
 
 
 def write_tokens(docs: DataFrame, path: str, params: StoreParams, id_column: str = "doc_id", text_column: str = "text") -> None:
@@ -39,7 +42,7 @@ def write_tokens(docs: DataFrame, path: str, params: StoreParams, id_column: str
     order = ["doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     spark = docs.sparkSession
-    with small_batches(spark):
+    with small_batches(spark, params.batch_rows):
         (
             ordered.mapInArrow(_encoder(params), STORED)
             .write.option("compression", "zstd")
@@ -60,10 +63,10 @@ def _encoder(params: StoreParams):
     def encode(stream):
         from .tokens import batches, coder
 
-        code, shard, at = coder(params.tokenizer), TaskContext.get().partitionId(), 0
+        code, shard, at = coder(params.tokenizer, params.keep), TaskContext.get().partitionId(), 0
         for batch in stream:
             keys, texts = batch.column(0), batch.column(1)
-            for a, b in batches(texts):
+            for a, b in batches(texts, params.chars):
                 ids, lengths = code.encode(texts.slice(a, b - a))
                 ends = np.cumsum(lengths)
                 ids = np.insert(ids, ends, params.end_id)
