@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SUBSTRING = 16  # bits
+from .common import stage
+
+SUBSTRING = 8  # bits
+VALUES = 1 << SUBSTRING
 
 
 @dataclass(frozen=True)
 class SearchParams:
     bits: int = 256
-    probe: int = 2  # bits that a substring may differ in when its index is probed
     candidates: int = 400  # nearest codes that are reranked at least, from each block
-    block: int = 8192  # vectors that share an index
+    share: float = 0.06  # and at least so many of the block's codes
+    block: int = 16384  # vectors that share an index
+    block_bytes: int = 32 << 20  # of their components, which makes blocks of long vectors smaller
     sample: int = 8192  # vectors, drawn by hash, on which the rotations are fitted
     rounds: int = 30
     seed: int = 42
@@ -27,11 +30,6 @@ class SearchParams:
     def substrings(self) -> int:
         return self.bits // SUBSTRING
 
-    @property
-    def certain(self) -> int:
-        """Codes within so many bits are all found by probing: with one more bit, some substring still differs in ``probe`` at most."""
-        return self.substrings * (self.probe + 1) - 1
-
 
 def usable(vector: str) -> Column:
     """Not null, not zero, every component there and finite."""
@@ -64,62 +62,83 @@ def _lengthened(x: np.ndarray, norm: float) -> np.ndarray:
 
 
 def encode(x: np.ndarray, rotations: np.ndarray, norm: float | None) -> np.ndarray:
-    """(n, substrings) codes; without ``norm`` the added component is 0, as queries have it."""
+    """(n, substrings) codes of a byte each; without ``norm`` the added component is 0, as queries have it."""
     full = np.column_stack((x, np.zeros(len(x)))) if norm is None else _lengthened(x, norm)
-    return np.packbits(full @ rotations >= 0, axis=1, bitorder="little").view(np.uint16)
-
-
-def flips(most: int) -> np.ndarray:
-    """All changes of at most ``most`` bits of a substring."""
-    return np.array([sum(1 << b for b in bits) for k in range(most + 1) for bits in combinations(range(SUBSTRING), k)], np.uint16)
+    return np.packbits(full @ rotations >= 0, axis=1, bitorder="little")
 
 
 class MultiIndex:
-    """One index per substring over the codes of a block."""
+    """One index per substring over the codes of a block.
+
+    The index of a substring leads from each of its values to the bitmap of the codes that have it, or, at level r,
+    one that differs in at most r bits. A level is made from the one before when a query first needs it.
+    """
 
     def __init__(self, codes: np.ndarray, params: SearchParams):
         self.params, self.codes = params, codes
         self.words = np.ascontiguousarray(codes).view(np.uint64)
-        self.order = [np.argsort(c, kind="stable") for c in codes.T]
-        self.ends = [np.cumsum(np.bincount(c, minlength=1 << SUBSTRING)) for c in codes.T]
-
-    def probe(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query, code) numbers of all codes within ``certain`` bits."""
-        masks, found = flips(self.params.probe), []
-        for k in range(self.params.substrings):
-            wanted = (queries[:, k, None] ^ masks[None, :]).astype(np.int64).ravel()
-            ends = self.ends[k][wanted]
-            counts = ends - np.where(wanted > 0, self.ends[k][wanted - 1], 0)
-            hit = np.flatnonzero(counts)
-            ends, counts = ends[hit], counts[hit]
-            total = np.cumsum(counts)
-            at = np.repeat(ends - total, counts) + np.arange(total[-1] if len(total) else 0)
-            found.append(np.repeat(hit // len(masks), counts) * len(self.codes) + self.order[k][at])
-        pairs = np.unique(np.concatenate(found))
-        query, code = pairs // len(self.codes), pairs % len(self.codes)
-        near = self.distance(queries, query, code) <= self.params.certain
-        return query[near], code[near]
-
-    def distance(self, queries: np.ndarray, query: np.ndarray, code: np.ndarray) -> np.ndarray:
-        words = np.ascontiguousarray(queries).view(np.uint64)
-        return sum(np.bitwise_count(words[query, w] ^ self.words[code, w]).astype(np.int32) for w in range(self.words.shape[1]))
-
-    def search(self, queries: np.ndarray) -> list[np.ndarray]:
-        """For each query all codes within a radius that holds ``candidates`` of them at least.
-
-        Probing is enough if it finds so many. Otherwise the radius is larger than probing pays for (more buckets
-        than codes), and one pass over the block's codes finds all within it.
+        n = len(codes)
+        first = np.zeros((params.substrings, VALUES, -(-n // 8)), np.uint8)
+        rows = np.arange(n)
+        for k in range(params.substrings):
+            np.bitwise_or.at(first[k], (codes[:, k], rows >> 3), (1 << (rows & 7)).astype(np.uint8))
+        self.level, self.lists = 0, first
+
+    def _raise_to(self, level: int) -> None:
+        values = np.arange(VALUES)
+        while self.level < level:
+            for k, own in enumerate(self.lists):
+                wider = own.copy()
+                for b in range(SUBSTRING):
+                    wider |= own[values ^ (1 << b)]
+                self.lists[k] = wider
+            self.level += 1
+
+    def certain(self, level: int) -> int:
+        """Codes within so many bits are all found at a level: with one more bit, some substring still differs in ``level`` at most."""
+        return self.params.substrings * (level + 1) - 1
+
+    def probe(self, queries: np.ndarray, level: int) -> np.ndarray:
+        """(queries, bytes) bitmaps of the codes that have some substring within ``level`` bits of the query's."""
+        self._raise_to(level)
+        found = self.lists[0][queries[:, 0]]
+        for k in range(1, self.params.substrings):
+            found |= self.lists[k][queries[:, k]]
+        return found
+
+    def search(self, queries: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """For each query all codes within the least radius that holds ``candidates`` of them (and ``share`` of the block's), and that radius.
+
+        Level by level, codes that probing finds for the first time are compared. A query is answered when so many lie within what the level makes certain.
         """
-        query, code = self.probe(queries)
-        n, want = len(queries), min(self.params.candidates, len(self.codes))
-        counts = np.bincount(query, minlength=n)
-        cuts = np.cumsum(counts)
-        out = [code[e - c:e] for e, c in zip(cuts, counts)]
+        p, n = self.params, len(self.codes)
+        want = min(n, max(p.candidates, int(np.ceil(p.share * n))))
+        out: list = [None] * len(queries)
         words = np.ascontiguousarray(queries).view(np.uint64)
-        for k in np.flatnonzero(counts < want).tolist():
-            gaps = np.bitwise_count(self.words ^ words[k]).sum(axis=1, dtype=np.int32)
-            radius = max(self.params.certain, int(np.partition(gaps, want - 1)[want - 1]))
-            out[k] = np.flatnonzero(gaps <= radius)
+        found: list[list[np.ndarray]] = [[] for _ in queries]
+        gaps: list[list[np.ndarray]] = [[] for _ in queries]
+        open_ = np.arange(len(queries))
+        seen = np.zeros((len(queries), self.lists.shape[2]), np.uint8)
+        # rising levels for all queries at once, as an index only rises; the last level finds every code
+        for level in range(self.level, SUBSTRING + 1):
+            hit = self.probe(queries[open_], level)
+            new = np.unpackbits(hit & ~seen[open_], axis=1, count=n, bitorder="little")
+            seen[open_] |= hit
+            left = []
+            for q, row in zip(open_.tolist(), new):
+                at = np.flatnonzero(row)
+                found[q].append(at)
+                gaps[q].append(np.bitwise_count(self.words[at] ^ words[q]).sum(axis=1, dtype=np.int32))
+                near = np.concatenate(gaps[q])
+                if (near <= self.certain(level)).sum() < want:
+                    left.append(q)
+                    continue
+                radius = int(np.partition(near, want - 1)[want - 1])
+                out[q] = np.concatenate(found[q])[near <= radius], radius
+                found[q] = gaps[q] = []
+            open_ = np.array(left, np.int64)
+            if not left:
+                break
         return out
 
 
@@ -129,8 +148,10 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
     double precision, ties to the smaller id.
 
     Vectors are dealt to blocks of bounded size, each with its indexes, and meet the queries block by
-    block. A block returns at most k rows per query, so vectors aren't paired in the
-    shuffle; the best k over all blocks remain. A query doesn't find rows with its own id.
+    block. Every answer comes out of the indexes: a query probes wider substrings until enough codes lie within the radius that pigeonhole
+    makes certain. A block returns at most k rows per query, so vectors aren't paired in the
+    shuffle; the best k over all blocks remain. A query doesn't find rows with its own id. Of equal vectors only those
+    that can be among the answers, by the smallest ids, enter a block, so a vector that many rows repeat fills none.
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor do rows without id or of another
     than the most frequent dimension. Rows that repeat an id are candidates of their own, and the first asks. A query finds all candidates if there are
@@ -149,8 +170,10 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
     sample = np.array(sample.tolist() or [[0.0] * shape["dims"]], float)
     norm = float(shape["norm"])
     rotations = fit_rotations(sample, norm, p)
-    blocks = max(1, -(-shape["n"] // p.block))
-    indexed = rows.select(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "id", "v")
+    indexed = stage(_distinct(rows.select("id", "v"), k), "vectors")
+    size = max(1, min(p.block, p.block_bytes // (8 * shape["dims"])))
+    blocks = max(1, -(-indexed.count() // size))
+    indexed = indexed.select(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "id", "v")
     asked = rows.where("asks").select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "id", "v")
     met = indexed.unionByName(asked).repartition(blocks, "block").sortWithinPartitions("block", "kind", "id")
     found = met.mapInArrow(_searcher(rotations, norm, k, p), "query_id long, vec_id long, score double")
@@ -159,6 +182,16 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def _distinct(rows: DataFrame, k: int) -> DataFrame:
+    """Rows (id, v) that can be among the k nearest of some query: equal vectors score alike, so the smallest ids win.
+
+    A query leaves out rows of its own id, of which k are kept; among 2 k rows k others remain.
+    """
+    same = rows.withColumn("nth", F.row_number().over(Window.partitionBy("v", "id").orderBy("id"))).where(F.col("nth") <= k)
+    first = same.withColumn("nth", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("nth") <= 2 * k)
+    return first.select("id", "v")
+
+
 def _searcher(rotations: np.ndarray, norm: float, k: int, p: SearchParams):
     def search(stream):
         block, parts, index, ids, x, asked = None, [], None, None, None, None
@@ -191,7 +224,7 @@ def _searcher(rotations: np.ndarray, norm: float, k: int, p: SearchParams):
 
 def _answers(own, queries, codes, index, ids, x, k):
     out = []
-    for q, near in enumerate(index.search(codes)):
+    for q, (near, _) in enumerate(index.search(codes)):
         near = near[ids[near] != own[q]]
         score = (x[near] * queries[q]).sum(axis=1)
         best = np.lexsort((ids[near], -score))[:k]

@@ -38,8 +38,14 @@ def test_recall_against_brute_force(spark, data, request):
     table = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").toPandas()
     ids, x = table.vec_id.to_numpy(), np.array(table.embedding.tolist(), float)
     want = exact(ids, x, np.flatnonzero(ids % 20 == 0))
+    from pyspark.sql import functions as F
+
+    if data == "crowded":
+        found = neighbours.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 20 == 0, params=SearchParams(block=4096))
+    else:
+        found = queries.op4_neighbours(spark, folder)
     got = {}
-    for r in queries.op4_neighbours(spark, folder).orderBy("query_id", "rank").collect():
+    for r in found.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
         assert r.rank == len(got[r.query_id])
     assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
@@ -51,19 +57,42 @@ def test_recall_against_brute_force(spark, data, request):
         assert all(abs(s - float(x[place[i]] @ x[place[q]])) < 1e-12 for i, s in found)
 
 
+def _codes_around(centre, n, most, rng):
+    codes = np.tile(centre, (n, 1))
+    for row in codes:
+        for b in rng.integers(0, 256, rng.integers(0, most)):
+            row[b // 8] ^= np.uint8(1 << (b % 8))
+    return codes
+
+
 def test_probing_finds_every_code_within_its_radius():
     rng = np.random.default_rng(0)
-    params = SearchParams()
-    centre = rng.integers(0, 1 << 16, 16).astype(np.uint16)
-    codes = np.tile(centre, (600, 1))
-    for row in codes:
-        for b in rng.integers(0, 256, rng.integers(0, 70)):
-            row[b // 16] ^= np.uint16(1 << (b % 16))
-    index = MultiIndex(codes, params)
-    query, code = index.probe(centre[None, :])
+    centre = rng.integers(0, 256, 32).astype(np.uint8)
+    codes = _codes_around(centre, 601, 150, rng)
+    index = MultiIndex(codes, SearchParams())
     gaps = np.bitwise_count(codes ^ centre).sum(axis=1)
-    assert set(code.tolist()) == set(np.flatnonzero(gaps <= params.certain).tolist()) and len(code) > 50
-    assert params.certain == 47
+    for level, certain in enumerate((31, 63, 95, 127)):
+        found = np.unpackbits(index.probe(centre[None, :], level)[0], count=len(codes), bitorder="little").astype(bool)
+        assert index.certain(level) == certain and found[gaps <= certain].all()
+        # nothing but what some substring leads to
+        apart = np.bitwise_count(codes ^ centre).min(axis=1)
+        assert (found == (apart <= level)).all()
+
+
+def test_search_gives_all_codes_within_the_least_radius():
+    rng = np.random.default_rng(1)
+    centre = rng.integers(0, 256, 32).astype(np.uint8)
+    far = rng.integers(0, 256, (3000, 32)).astype(np.uint8)
+    codes = np.concatenate((_codes_around(centre, 300, 60, rng), far))
+    params = SearchParams(candidates=200, share=0.0)
+    asked = np.concatenate((centre[None], far[:20], ~centre[None]))
+    for index in (MultiIndex(codes, params), MultiIndex(codes, params)):
+        for rounds in range(2):  # a second search on an index that has risen gives the same
+            for q, (near, radius) in zip(asked, index.search(asked)):
+                gaps = np.bitwise_count(codes ^ q).sum(axis=1)
+                assert radius == np.sort(gaps)[199] and sorted(near.tolist()) == np.flatnonzero(gaps <= radius).tolist()
+    few = MultiIndex(codes[:5], params)
+    assert sorted(few.search(centre[None])[0][0].tolist()) == [0, 1, 2, 3, 4]
 
 
 def test_odd_vectors(spark):
@@ -84,6 +113,15 @@ def test_odd_vectors(spark):
     assert neighbours.nearest(table.where("vec_id = 40"), F.lit(True)).count() == 0
 
 
+def test_rows_that_repeat_an_id_do_not_hide_others(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(0, [1.0, 0.0])] * 50 + [(k, [1.0, 0.0]) for k in range(1, 30)] + [(k, [-0.0, 1.0]) for k in range(30, 33)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(table, F.col("vec_id").isin(0, 5), k=3).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(0, 1), (0, 2), (0, 3), (5, 0), (5, 0), (5, 0)]
+
+
 def test_many_equal_vectors_give_the_smallest_ids(spark):
     from pyspark.sql import functions as F
 
