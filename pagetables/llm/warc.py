@@ -10,6 +10,7 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 @dataclass(frozen=True)
 class WarcParams:
     prefix: str = "pages"
-    shard_bytes: int = 16 << 20  # of payload, before compression
-    roll_bytes: int = 32 << 20  # a file is closed when it has so many compressed bytes
+    shard_bytes: int = 32 << 20  # of payload, before compression: what a task sorts and writes
+    roll_bytes: int = 2 << 20  # a file is closed when it has so many compressed bytes; a shard is one file or several
     least_revisit: int = 0  # payloads with fewer bytes are always written in full
     date: str = "1970-01-01T00:00:00Z"
     level: int = 4  # of gzip
@@ -34,6 +35,8 @@ class WarcParams:
 
 
 MANIFEST = "name string, shard int, records long, compressed_bytes long, sha1 string"
+NO_ID = -(1 << 63)  # stands for a null page_id where ids are compared
+RECORD_BYTES = 512  # about what a record holds beside its payload
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -41,7 +44,8 @@ def write_warc(pages: DataFrame, path: str, params: WarcParams = WarcParams()) -
     """Write a record for each row (page_id, url, html) into gzipped WARC files under ``path``, and a manifest of them.
 
     Records are sorted by page_id over shards, whose bounds come from ids drawn by their hash, so
-    the same pages give the same files. Of equal payloads (same SHA-1, second hash and length), the
+    the same pages give the same files. An id (or none) whose rows hold more than a shard gets shards of its own after all others, to which
+    its payloads are dealt by their hash. Of equal payloads (same SHA-1, second hash and length), the
     smallest page_id's is a response and others revisit it; of rows that repeat that id and payload, the first
     is. Files get their names when they are complete, under the same name on every attempt, and
     count when the manifest, which is written last, lists them.
@@ -62,10 +66,17 @@ def write_warc(pages: DataFrame, path: str, params: WarcParams = WarcParams()) -
         "repeated-payloads",
     )
     bounds = _bounds(narrow, p)
+    hot, parts = _hot(narrow, p)
+    firsts = len(bounds) + 1 + np.cumsum(parts) - parts
 
     @F.pandas_udf("int")
-    def shard_of(ids):
-        return ids.fillna(-(1 << 63)).astype("int64").map(lambda x: int(np.searchsorted(bounds, x, side="right"))) if len(bounds) else ids.fillna(0).astype("int64") * 0
+    def shard_of(ids: pd.Series, seconds: pd.Series) -> pd.Series:
+        own = ids.to_numpy(np.int64)
+        shards = np.searchsorted(bounds, own, side="right")
+        if len(hot):
+            at = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
+            shards = np.where(hot[at] == own, firsts[at] + seconds.to_numpy(np.int64) % parts[at], shards)
+        return pd.Series(shards.astype(np.int32))
 
     decided = (
         narrow.join(sized(again), ["digest", "second", "bytes"]).select("page_id", "digest", "second", "refers").distinct()
@@ -73,10 +84,10 @@ def write_warc(pages: DataFrame, path: str, params: WarcParams = WarcParams()) -
     )
     every = decided.unionByName(
         rows.select("page_id", *key, F.lit(1).alias("tag"), F.lit(None).cast("long").alias("refers"), "url", "payload")
-    ).withColumn("shard", shard_of("page_id"))
+    ).withColumn("shard", shard_of(F.coalesce("page_id", F.lit(NO_ID)), "second"))
     # a page's decision comes right before it; the payloads move once
     order = ["shard", F.col("page_id"), "digest", "second", "tag", "url"]
-    sorted_rows = every.repartition(len(bounds) + 1, "shard").sortWithinPartitions(*order)
+    sorted_rows = every.repartition(len(bounds) + 1 + int(parts.sum()), "shard").sortWithinPartitions(*order)
     manifest = sorted_rows.select("shard", "page_id", "digest", "second", "tag", "refers", "url", "payload").mapInArrow(_writer(path, p), MANIFEST)
     manifest.write.parquet(f"{path}/manifest")
 
@@ -98,6 +109,14 @@ def _bounds(narrow: DataFrame, params: WarcParams) -> np.ndarray:
     return np.unique(ids[np.minimum(at, len(ids) - 1)])
 
 
+def _hot(narrow: DataFrame, params: WarcParams) -> tuple[np.ndarray, np.ndarray]:
+    """Ids whose payloads hold more than a shard, in order, and the shards each is given; there are fewer of them than shards."""
+    heavy = narrow.groupBy("page_id").agg(F.sum(F.col("bytes") + RECORD_BYTES).alias("bytes")).where(F.col("bytes") > params.shard_bytes)
+    rows = heavy.select(F.coalesce("page_id", F.lit(NO_ID)).alias("id"), "bytes").groupBy("id").agg(F.sum("bytes").alias("bytes")).collect()
+    rows.sort()
+    return np.array([r.id for r in rows], np.int64), np.array([-(-r.bytes // params.shard_bytes) for r in rows], np.int64)
+
+
 def _digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 

@@ -54,6 +54,46 @@ def test_same_files_again_with_other_partitions_and_rolled_by_size(spark, tmp_pa
     assert text.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo")
 
 
+def test_rolled_by_compressed_size_with_the_parameters_of_the_query(spark, tmp_path):
+    """Pages of random letters, which hardly shrink: more than one file of a shard, none far beyond the size at which it closes."""
+    from pyspark.sql import functions as F
+
+    noise = F.concat_ws("", *[F.sha2(F.concat_ws("-", F.lit(k), "id"), 512) for k in range(150)])
+    pages = spark.range(0, 600, 1, 4).select(F.col("id").alias("page_id"), F.lit("http://a/").alias("url"), noise.alias("html"))
+    warc.write_warc(pages, f"{tmp_path}/w")
+    files = spark.read.parquet(f"{tmp_path}/w/manifest").orderBy("name").collect()
+    roll = warc.WarcParams().roll_bytes
+    assert len(files) == 4 and {r.shard for r in files} == {0}
+    assert all(roll <= r.compressed_bytes < roll + 100_000 for r in files[:-1]) and files[-1].compressed_bytes < roll
+    assert sum(r.records for r in files) == 600 == warc.read_warc(spark, f"{tmp_path}/w").distinct().count()
+
+
+def test_hot_ids_are_dealt_to_shards_of_their_own(spark, tmp_path):
+    """A third of the rows has no id, and a third has one id."""
+    from pyspark.sql import functions as F
+
+    page = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, -1).otherwise(F.col("id"))
+    html = F.repeat(F.concat((F.col("id") % 200).cast("string"), F.lit(" ")), 50)
+    pages = spark.range(600).select(page.alias("page_id"), F.lit("http://a/").alias("url"), html.alias("html"))
+    params = warc.WarcParams(shard_bytes=20_000)
+    for name, rows in (("a", pages), ("b", pages.repartition(5))):
+        warc.write_warc(rows, f"{tmp_path}/{name}", params)
+    assert digests(f"{tmp_path}/a") == digests(f"{tmp_path}/b")
+    files = spark.read.parquet(f"{tmp_path}/a/manifest").groupBy("shard").agg(F.sum("records").alias("n")).collect()
+    assert max(r.n for r in files) <= 80 and sum(r.n for r in files) == 600
+    got = warc.read_warc(spark, f"{tmp_path}/a").toPandas()
+    # 200 payloads, each in three rows: one response and two that revisit it
+    assert len(got) == 600 and (got.record_type == "response").sum() == 200
+    assert (got.page_id.isna()).sum() == 200 and (got.page_id == -1).sum() == 200
+    want = pages.groupBy("html").agg(F.min("page_id").alias("first"))
+    firsts = {hashlib.sha1(r.html.encode()).hexdigest(): r.first for r in want.collect()}
+    import base64
+
+    for r in got.itertuples():
+        if r.record_type == "revisit":
+            assert r.refers_to == firsts[base64.b32decode(r.payload_digest).hex()]
+
+
 def test_a_file_without_its_manifest_row_does_not_count(spark, tmp_path):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     warc.write_warc(pages, f"{tmp_path}/w")
