@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep_rows, sized, small_batches, stage, text_of
@@ -21,7 +21,7 @@ _ANY = re.compile(r"[^\W\d_]")
 
 @dataclass(frozen=True)
 class LanguageParams:
-    sample: int = 600  # training documents per language, drawn by hash; the model is fitted on these only
+    sample: int = 600  # distinct training texts per language, drawn by hash; the model is fitted on these only
     centroids: int = 3  # per language
     dims: int = 8192  # buckets of character trigrams
     rounds: int = 12
@@ -140,7 +140,7 @@ def _limits(counts: np.ndarray, x: np.ndarray, own_idf: np.ndarray, p: LanguageP
 
 
 def fit(train: DataFrame, text_column: str = "text", lang_column: str = "lang", params: LanguageParams = LanguageParams()) -> LanguageModel:
-    """Fit on about ``sample`` documents per language, drawn by a hash of the text.
+    """Fit on at most ``sample`` distinct texts per language, drawn by a hash of the text; copies of a text count once.
 
     Trigram counts are damped by logarithm, weighted by inverse document frequency and normalised; each language's vectors are clustered
     by cosine in a task of its own, whose size the sample bounds, which also sets the language's limits. The driver gets
@@ -150,11 +150,14 @@ def fit(train: DataFrame, text_column: str = "text", lang_column: str = "lang",
     rows = train.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(lang_column).alias("lang"), F.col(text_column).alias("text")
     )
-    totals = stage(rows.groupBy("lang").count(), "languages")
+    keyed = rows.withColumn("hash", F.xxhash64("text"))
+    totals = stage(keyed.select("lang", "hash").distinct().groupBy("lang").count(), "languages")
     draw = F.pmod(F.xxhash64(F.lit(p.seed), "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(sized(totals), "lang").where(draw < F.lit(float(p.sample)) / F.col("count")).select(
-        "lang", F.xxhash64("text").alias("hash"), "text"
-    )
+    # a little more is drawn than is kept, so that the bound is met exactly
+    drawn = keyed.join(sized(totals), "lang").withColumn("draw", draw).where(F.col("draw") < F.lit(1.3 * p.sample + 50) / F.col("count"))
+    distinct = drawn.groupBy("lang", "hash").agg(F.min("draw").alias("draw"), F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "hash"))
+    sample = distinct.withColumn("place", place).where(F.col("place") <= p.sample).select("lang", "hash", "text")
 
     def vectors(stream):
         pool = _pool(dims)

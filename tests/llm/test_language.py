@@ -64,3 +64,61 @@ def test_rejects_a_left_out_language_and_random_text(spark):
     for out in ("es", "en"):
         foreign = shares(docs.where(F.col("lang") == out), language.fit(train.where(F.col("lang") != out)))
         assert foreign[out] >= 0.9, foreign
+
+
+def _dense(texts, dims):
+    """Trigram counts by plain loops."""
+    import re
+
+    out = np.zeros((len(texts), dims))
+    for k, text in enumerate(texts):
+        for word in text.lower().split():
+            for part in re.findall(r"[^\W\d_]+", word):
+                padded = [1, *map(ord, part), 2]
+                for a, b, c in zip(padded, padded[1:], padded[2:]):
+                    out[k, _bucket(a, b, c, dims)] += 1
+    return out
+
+
+def _bucket(a, b, c, dims):
+    """Three characters of 12 bits, spread by a multiplication."""
+    key = (a % 4093) << 24 | (b % 4093) << 12 | c % 4093
+    return (key * 0x9E3779B97F4A7C15 % (1 << 64) >> 40) % dims
+
+
+def test_predictions_against_dense_cosines(spark):
+    """Counts, weights, cosines, shares and rejections of every text against plain loops over the same centroids."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, "Ärger über ÖL, naïve café 日本 42 a", None), (-2, "x", None), (-3, None, None), (-4, "", None)], docs.schema)
+    docs = docs.unionByName(odd)
+    model = language.fit(docs.where("doc_id % 5 <> 0"))
+    got = {r.doc_id: r for r in language.identify(docs, model, ["doc_id"]).collect()}
+    rows = docs.collect()
+    dims = model.params.dims
+    counts = _dense([r.text or "" for r in rows], dims)
+    centres = (model.weights / model.idf[:, None]).T.astype(float)
+    assert np.allclose(np.linalg.norm(centres, axis=1), 1, atol=1e-4)
+    for r, own in zip(rows, counts):
+        guess = got[r.doc_id]
+        if not any(ch.isalpha() for ch in r.text or ""):
+            assert guess._lang == "und" and guess._score == 0 and guess._rejected
+            continue
+        vector = np.log1p(own) * model.idf
+        cosines = centres @ vector / np.linalg.norm(vector)
+        best = np.array([cosines[model.owner == k].max() for k in range(len(model.languages))])
+        assert abs(guess._cosine - best.max()) < 1e-4
+        assert best[model.languages.index(guess._lang)] >= best.max() - 1e-4
+        share = 1 / np.exp(model.params.sharpness * (best - best.max())).sum()
+        assert abs(guess._score - share) < 1e-2
+        limit = np.interp(np.log2(own.sum()), np.log2(language.SIZES), model.limits[model.languages.index(guess._lang)])
+        assert guess._rejected == (guess._cosine < limit) or abs(guess._cosine - limit) < 1e-4
+
+
+def test_copies_count_once_and_the_sample_is_bounded(spark):
+    """A text that makes up most rows neither fills the sample nor one task."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
+    copies = docs.limit(1).crossJoin(spark.range(3000)).select("text", "lang")
+    one, many = language.fit(docs), language.fit(docs.unionByName(copies))
+    assert one.languages == many.languages and np.allclose(one.weights, many.weights) and np.allclose(one.limits, many.limits)
+    few = language.fit(docs, params=language.LanguageParams(sample=5, centroids=9))
+    assert all((few.owner == k).sum() <= 5 for k in range(len(few.languages)))
