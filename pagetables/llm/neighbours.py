@@ -175,7 +175,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
     blocks = max(1, -(-indexed.count() // size))
     indexed = indexed.select(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "id", "v")
     asked = rows.where("asks").select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "id", "v")
-    met = indexed.unionByName(asked).repartition(blocks, "block").sortWithinPartitions("block", "kind", "id")
+    met = indexed.unionByName(asked).repartitionById(blocks, "block").sortWithinPartitions("block", "kind", "id")
     found = met.mapInArrow(_searcher(rotations, norm, k, p), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
