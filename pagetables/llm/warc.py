@@ -87,7 +87,7 @@ def write_warc(pages: DataFrame, path: str, params: WarcParams = WarcParams()) -
     ).withColumn("shard", shard_of(F.coalesce("page_id", F.lit(NO_ID)), "second"))
     # a page's decision comes right before it; the payloads move once
     order = ["shard", F.col("page_id"), "digest", "second", "tag", "url"]
-    sorted_rows = every.repartition(len(bounds) + 1 + int(parts.sum()), "shard").sortWithinPartitions(*order)
+    sorted_rows = every.repartitionById(len(bounds) + 1 + int(parts.sum()), "shard").sortWithinPartitions(*order)
     manifest = sorted_rows.select("shard", "page_id", "digest", "second", "tag", "refers", "url", "payload").mapInArrow(_writer(path, p), MANIFEST)
     manifest.write.parquet(f"{path}/manifest")
 
