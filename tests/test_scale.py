@@ -1,5 +1,6 @@
 """What keeps tasks small when the tables grow: pages per task, elements per batch, tests per page."""
 
+import glob
 import random
 
 import pyarrow as pa
@@ -86,3 +87,33 @@ def test_url_filters_are_tested_per_page(spark, sf, pages):
 def test_filter_urls_are_shared_out(spark, sf, monkeypatch):
     monkeypatch.setattr(C, "TASK_ROWS", 500)
     assert Q.q18b_filter_urls(spark, sf).rdd.getNumPartitions() == 5
+
+
+def test_arrivals_are_written_by_many_tasks(spark, sf, monkeypatch):
+    """Three arrivals, each of several files and still one micro-batch."""
+    bases = []
+    workspace = Q.workspace
+
+    def known(session, name):
+        bases.append(workspace(session, name))
+        return bases[-1]
+
+    monkeypatch.setattr(Q, "workspace", known)
+    rows = Q.q26b_late_captures(spark, sf)
+    assert rows.count() == 25000
+    assert len(glob.glob(f"{bases[0]}/in/*.parquet")) == 9
+    assert len(glob.glob(f"{bases[0]}/out/jobOffers/batch_id=*")) == 3
+
+
+def test_ingested_pages_are_written_by_many_tasks(spark, sf, monkeypatch):
+    """The location pages have three tasks, profiles and partners one each."""
+    bases = []
+    workspace = Q.workspace
+
+    def known(session, name):
+        bases.append(workspace(session, name))
+        return bases[-1]
+
+    monkeypatch.setattr(Q, "workspace", known)
+    assert Q.q26_ingest(spark, sf).count() == 3
+    assert len(glob.glob(f"{bases[0]}/in/*.parquet")) == 5
